@@ -22,8 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import chunks, held_out, small_batches, texts_of
+from .common import chunks, held_out, small_batches
 
 UND = "und"
 #: Trigram vectors that a worker keeps before it starts anew (a byte a dimension).
@@ -128,27 +129,36 @@ def centred(prototypes: np.ndarray) -> np.ndarray:
     return prototypes / np.maximum(np.linalg.norm(prototypes, axis=1, keepdims=True), 1e-12) if len(prototypes) else prototypes
 
 
-def predict(docs: DataFrame, languages: list[str], prototypes: np.ndarray, dimensions: int = 1024, seed: int = 7, *keep: str) -> DataFrame:
-    """doc_id, lang_pred, score for every whole text, and the columns to keep."""
+def annotated(docs: DataFrame, languages: list[str], prototypes: np.ndarray, dimensions: int = 1024, seed: int = 7) -> DataFrame:
+    """docs with two more columns, __lang and __score, for every whole text."""
     small_batches(docs.sparkSession)
     told = prototypes.astype(np.float32)
+    ready = docs.withColumn("text", F.col("text").cast("string"))
+    schema = T.StructType([*ready.schema.fields, T.StructField("__lang", T.StringType()), T.StructField("__score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = binder(dimensions, seed)
         for batch in chunks(batches):
             names, scores = [], []
             for text in batch.column("text").to_pylist():
-                v = own.bundle(text) if languages else None
+                v = own.bundle(text) if languages and text else None
                 near = told @ v if v is not None else None
                 best = int(np.argmax(near)) if near is not None else -1
                 names.append(languages[best] if best >= 0 else UND)
                 scores.append(float(np.clip(near[best], 0.0, 1.0)) if best >= 0 else 0.0)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names, "__lang", "__score"])
 
-    return texts_of(docs).mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return ready.mapInArrow(run, schema)
 
 
 def identify(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score."""
-    languages, prototypes = fit(docs)
-    return predict(docs, languages, prototypes).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+    found = annotated(docs.select(F.col("doc_id").cast("long"), "text"), *fit(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"))
+
+
+def with_language(docs: DataFrame, least: float = 0.02) -> DataFrame:
+    """docs without those that have no letter or that resemble no language by
+    `least`; a missing lang gets the predicted one."""
+    kept = annotated(docs, *fit(docs)).where((F.col("__lang") != UND) & (F.col("__score") >= least))
+    return kept.withColumn("lang", F.coalesce("lang", "__lang")).drop("__lang", "__score")
