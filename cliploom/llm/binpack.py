@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bpedp import byte_alphabet
 from .common import chunks, small_batches, texts_of, tokenizer_path, written
 
 #: Partitions whose leftovers one task merges: at most MERGED * open_windows windows.
@@ -41,7 +43,8 @@ PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 
 class WordCoder(dict):
-    """word: its ids as little-endian unsigned 32-bit bytes."""
+    """word: its ids as little-endian unsigned 32-bit bytes. Of the words learned
+    before the newest TABLE_SIZE, those still met are kept."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -50,21 +53,26 @@ class WordCoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.tokenize = self.tokenizer.model.tokenize
+        self.stand_in = {b: c for c, b in byte_alphabet().items()}
+        self.older: dict[str, bytes] = {}
 
     def ids_of(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def learn(self, words: set[str]) -> None:
-        if len(self) + len(words) > TABLE_SIZE:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        if (got := self.older.get(word)) is None:
+            spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.stand_in)
+            got = array("I", [t.id for t in self.tokenize(spelled)]).tobytes()
+        if len(self) >= TABLE_SIZE:
+            self.older = dict(self)
             self.clear()
-        new = list(words)
-        for word, coded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self[word] = np.asarray(coded.ids, dtype="<u4").tobytes()
+        self[word] = got
+        return got
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
-        plain = [WORDS.findall(t.lower()) if PLAIN.fullmatch(t) and "<|" not in t else None for t in texts]
-        self.learn({w for words in plain if words for w in words if w not in self})
-        return [b"".join([self[w] for w in words]) if words is not None else self.ids_of(t) for t, words in zip(texts, plain, strict=True)]
+        get = self.__getitem__
+        return [b"".join(map(get, WORDS.findall(t.lower()))) if PLAIN.fullmatch(t) and "<|" not in t else self.ids_of(t) for t in texts]
 
 
 _coders: dict[str, WordCoder] = {}
