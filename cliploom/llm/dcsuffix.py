@@ -21,15 +21,12 @@ see fragments.py.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .common import chunks
-from .fragments import MIX, NO_ID, Texts, covered, keyed, repeated_windows, with_runs
+from .fragments import MIX, Texts, finish, keyed, repeated_windows
 
 LENGTH, GRAM = 100, 16
 #: Bytes whose suffixes are sorted together, unless one minimiser has more.
@@ -147,33 +144,28 @@ def adjacent_prefixes(parts: list[bytes], doc, at, sizes, group) -> tuple[np.nda
 
 def read_bytes(raws: list[bytes]) -> Texts:
     raw = b"".join(raws)
-    n = max(0, len(raw) - GRAM + 1)
     eight = np.empty(max(0, len(raw) - 7), np.uint64)
     for j in range(8):
         slot = eight[j::8]
         slot[:] = np.frombuffer(raw, "<u8", len(slot), j) if len(slot) else 0
-    grams = eight[:n] * MIX[0] + (eight[8 : 8 + n] ^ (eight[8 : 8 + n] >> np.uint64(31))) * MIX[1]
+    n = max(0, len(raw) - GRAM + 1)
+    after = eight[GRAM - 8 : GRAM - 8 + n]
+    grams = eight[:n] * MIX[0] + (after ^ (after >> np.uint64(31))) * MIX[1]
     return Texts(raw, grams, np.asarray([len(r) for r in raws], np.int64))
 
 
-def kept_bytes(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+def kept_bytes(docs: DataFrame, texts: bool = False) -> DataFrame:
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and
+    kept (the bytes that stay) if `texts`."""
     found = keyed(docs)
-    both = with_runs(found, repeated_windows(found, LENGTH, GRAM, read_bytes, adjacent_prefixes))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
-            rows: list[list] = [[], [], [], []]
-            for text, runs in zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist(), strict=True):
-                raw, stretches = text.encode(), covered(runs, LENGTH)
-                digest, at = hashlib.sha256(), 0
-                for a, b in stretches:
-                    digest.update(raw[at:a])
-                    at = b
-                digest.update(raw[at:])
-                for x, v in zip(rows, (len(raw), sum(b - a for a, b in stretches), len(stretches), digest.hexdigest()), strict=True):
-                    x.append(v)
-            yield pa.RecordBatch.from_arrays([batch.column("key"), *(pa.array(x, pa.int64()) for x in rows[:3]), pa.array(rows[3], pa.string())], ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-
-    out = both.mapInArrow(run, "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    return out.select(F.when(F.col("key") != NO_ID, F.col("key")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+    def one(raw: bytes, stretches: list[tuple[int, int]]) -> tuple:
+        parts, at = [], 0
+        for a, b in stretches:
+            parts.append(raw[at:a])
+            at = b
+        kept = b"".join([*parts, raw[at:]])
+        return (len(raw), len(raw) - len(kept), len(stretches), hashlib.sha256(kept).hexdigest(), *([kept] if texts else ()))
+
+    schema = [("n_bytes", pa.int64(), "long"), ("n_removed", pa.int64(), "long"), ("n_spans", pa.int64(), "long"), ("kept_sha256", pa.string(), "string"), ("kept", pa.binary(), "binary")]
+    return finish(found, repeated_windows(found, LENGTH, GRAM, read_bytes, adjacent_prefixes), one, LENGTH, schema if texts else schema[:4])

@@ -55,6 +55,22 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[:n], x[width - span : width - span + n])
 
 
+def to_planes(x: np.ndarray, width: int | None = None) -> bytes:
+    """Integers as one run of bytes for each of their (lowest `width`) places."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize)[:, :width].T).tobytes()
+
+
+def from_planes(raw: bytes, at: int, n: int, kind: type, width: int) -> np.ndarray:
+    out = np.zeros((n, np.dtype(kind).itemsize), np.uint8)
+    out[:, :width] = np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n).T
+    return out.reshape(-1).view(kind)
+
+
+#: Columns of a pack and the bytes kept of each: step of doc_id, first window,
+#: windows, bytes, minimiser (24 bits beside the bucket tell almost all apart).
+COLUMNS = ((np.int64, 8), (np.int32, 4), (np.int32, 4), (np.int32, 4), (np.uint32, 3))
+
+
 @dataclass
 class Texts:
     """Documents of a chunk as symbols: gram hashes at each symbol, the number of
@@ -109,7 +125,7 @@ def repeated_windows(docs: DataFrame, k: int, m: int, read: Callable[[list[bytes
     buckets = bucket_count(docs, 1 + 2 * (k - 1) / (k - m + 2))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = zstandard.ZstdCompressor(level=1)
+        coder = zstandard.ZstdCompressor(level=5)
         for batch in chunks(batches):
             batch = batch.sort_by("doc_id")
             ids = batch.column("doc_id").to_numpy()
@@ -132,8 +148,9 @@ def repeated_windows(docs: DataFrame, k: int, m: int, read: Callable[[list[bytes
             packs = []
             for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(order)], strict=True):
                 of = order[a:b]
-                body = [np.int64(b - a), ids[doc[of]].astype(np.int64), at[of].astype(np.int64), sizes[of].astype(np.int32), (high - low)[of].astype(np.int32), least[of].astype(np.uint32)]
-                packs.append(coder.compress(b"".join([x.tobytes() for x in body] + [parts[i] for i in number[of].tolist()])))
+                columns = (np.diff(ids[doc[of]], prepend=0), at[of], sizes[of], (high - low)[of], least[of])
+                head = [to_planes(x.astype(kind), width) for x, (kind, width) in zip(columns, COLUMNS, strict=True)]
+                packs.append(coder.compress(b"".join([np.int64(b - a).tobytes(), *head, *[parts[i] for i in number[of].tolist()]])))
             again = np.asarray(again, np.int64)
             again = again[~_same(ids, doc, at, low, high, raw, seen, again)]
             runs = _runs(ids[doc[again]], at[again], at[again] + sizes[again] - 1)
@@ -186,9 +203,10 @@ def settle(packs: list[bytes], compare: Callable) -> tuple[np.ndarray, np.ndarra
         raw = decoder.decompress(pack)
         n = int(np.frombuffer(raw, np.int64, 1)[0])
         at, columns = 8, []
-        for kind in (np.int64, np.int64, np.int32, np.int32, np.uint32):
-            columns.append(np.frombuffer(raw, kind, n, at))
-            at += n * np.dtype(kind).itemsize
+        for kind, width in COLUMNS:
+            columns.append(from_planes(raw, at, n, kind, width))
+            at += n * width
+        columns[0] = np.cumsum(columns[0])
         heads.append(columns)
         bodies.append(raw[at:])
         offsets.append(offset + np.concatenate([[0], np.cumsum(columns[3], dtype=np.int64)[:-1]]))
@@ -196,6 +214,7 @@ def settle(packs: list[bytes], compare: Callable) -> tuple[np.ndarray, np.ndarra
     if not heads:
         return _runs(*(np.zeros(0, np.int64),) * 3)
     doc, at, sizes, lengths, least = (np.concatenate([h[i] for h in heads]) for i in range(5))
+    at = at.astype(np.int64)
     low, body = np.concatenate(offsets), b"".join(bodies)
     order = np.lexsort((at, doc, least))
     edge = np.append(True, np.diff(least[order].astype(np.int64)) != 0)
@@ -223,22 +242,64 @@ def settle(packs: list[bytes], compare: Callable) -> tuple[np.ndarray, np.ndarra
     return _runs(cols[:, 0], cols[:, 1], cols[:, 2])
 
 
-def with_runs(docs: DataFrame, runs: DataFrame) -> DataFrame:
-    """key, text and the runs of repeated windows of every document."""
-    gathered = runs.groupBy(F.col("doc_id").alias("key")).agg(F.collect_list(F.struct("first", "last")).alias("runs"))
-    return docs.withColumnRenamed("doc_id", "key").join(gathered, "key", "left")
+#: Bytes of text whose documents are finished together.
+FINISH_BYTES = 16 << 20
+
+
+def finish(docs: DataFrame, runs: DataFrame, one: Callable[[bytes, list[tuple[int, int]]], tuple], k: int, schema: list[tuple[str, pa.DataType, str]]) -> DataFrame:
+    """key and one(text, stretches of symbols that repeated windows cover) for every
+    document. Texts travel packed and compressed, a block for each group of ids."""
+    total = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
+    groups = max(8, total // FINISH_BYTES)
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = zstandard.ZstdCompressor(level=3)
+        for batch in chunks(batches):
+            group, ids, texts = batch.column("group").to_numpy(), batch.column("doc_id").to_numpy(), batch.column("text").to_pylist()
+            order = np.argsort(group, kind="stable")
+            edges = np.flatnonzero(np.append(True, np.diff(group[order]) != 0))
+            packs = []
+            for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(order)], strict=True):
+                raws = [texts[i].encode() for i in order[a:b].tolist()]
+                head = [np.int64(b - a), ids[order[a:b]], np.asarray([len(r) for r in raws], np.int64)]
+                packs.append(coder.compress(b"".join([x.tobytes() for x in head] + raws)))
+            yield pa.RecordBatch.from_arrays([pa.array(group[order[edges]]), pa.array(packs, pa.binary())], ["group", "packed"])
+
+    def join(key: tuple, texts: pa.Table, found: pa.Table) -> pa.Table:
+        decoder = zstandard.ZstdDecompressor()
+        order = np.lexsort((found.column("first").to_numpy(), ids := found.column("doc_id").to_numpy()))
+        ids, first, last = ids[order], found.column("first").to_numpy()[order], found.column("last").to_numpy()[order]
+        rows: list[tuple] = []
+        for pack in texts.column("packed").to_pylist():
+            raw = decoder.decompress(pack)
+            n = int(np.frombuffer(raw, np.int64, 1)[0])
+            keys, sizes = np.frombuffer(raw, np.int64, n, 8), np.frombuffer(raw, np.int64, n, 8 + 8 * n)
+            low, high = np.searchsorted(ids, keys, "left").tolist(), np.searchsorted(ids, keys, "right").tolist()
+            at = 8 + 16 * n
+            for key_of, size, a, b in zip(keys.tolist(), sizes.tolist(), low, high, strict=True):
+                rows.append((key_of, *one(raw[at : at + size], covered(first[a:b].tolist(), last[a:b].tolist(), k))))
+                at += size
+        kinds = [pa.int64(), *(kind for _, kind, _ in schema)]
+        return pa.table([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], ["key", *(name for name, _, _ in schema)])
+
+    of = F.pmod(F.xxhash64("doc_id"), F.lit(groups))
+    blocks = docs.withColumn("group", of).mapInArrow(packed, "group long, packed binary").groupBy("group")
+    ddl = ", ".join(["key long", *(f"{name} {kind}" for name, _, kind in schema)])
+    out = blocks.cogroup(runs.withColumn("group", of).groupBy("group")).applyInArrow(join, ddl)
+    return out.select(F.when(F.col("key") != NO_ID, F.col("key")).alias("doc_id"), *(name for name, _, _ in schema))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     return texts_of(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
 
 
-def covered(runs: list[dict] | None, k: int) -> list[tuple[int, int]]:
-    """Maximal stretches [from, to) of symbols that the windows cover."""
+def covered(first: list[int], last: list[int], k: int) -> list[tuple[int, int]]:
+    """Maximal stretches [from, to) of symbols that runs of windows cover; the runs
+    come by their first window."""
     out: list[tuple[int, int]] = []
-    for a, b in sorted((r["first"], r["last"] + k) for r in runs or ()):
+    for a, b in zip(first, last, strict=True):
         if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], b))
+            out[-1] = (out[-1][0], max(out[-1][1], b + k))
         else:
-            out.append((a, b))
+            out.append((a, b + k))
     return out

@@ -15,7 +15,7 @@ def op1_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_superkmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return superkmer.kept_words(table(spark, sf_dir, "documents")).drop("kept")
+    return superkmer.kept_words(table(spark, sf_dir, "documents"), texts=False)
 
 
 def op3_hd_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

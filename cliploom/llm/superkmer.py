@@ -14,17 +14,14 @@ table without rows gives none; repeated rows: see fragments.py.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .common import chunks
-from .fragments import MIX, NO_ID, Texts, covered, keyed, repeated_windows, with_runs
+from .fragments import MIX, Texts, finish, keyed, repeated_windows
 
-WORDS, GRAM = 20, 4
+WORDS, GRAM = 20, 3
 _BASE = np.uint64(0x5851F42D4C957F2D)
 _INVERSE = np.uint64(pow(0x5851F42D4C957F2D, -1, 1 << 64))
 _TABLE = np.random.default_rng(11).integers(0, 1 << 64, 256, np.uint64)
@@ -73,24 +70,18 @@ def sort_windows(parts: list[bytes], doc, at, sizes, group) -> tuple[np.ndarray,
     return cols[:, 0], cols[:, 1], cols[:, 1]
 
 
-def kept_words(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_words, n_removed, kept_sha256, kept (the text)."""
+def kept_words(docs: DataFrame, texts: bool = True) -> DataFrame:
+    """One row per document: doc_id, n_words, n_removed, kept_sha256, and kept (the
+    words that stay) if `texts`."""
     found = keyed(docs)
-    both = with_runs(found, repeated_windows(found, WORDS, GRAM, read_words, sort_windows))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
-            counts, gone, digests, kept = [], [], [], []
-            for text, runs in zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist(), strict=True):
-                words = text.encode().split()
-                counts.append(len(words))
-                stretches = covered(runs, WORDS)
-                gone.append(sum(b - a for a, b in stretches))
-                for a, b in reversed(stretches):
-                    del words[a:b]
-                kept.append(b" ".join(words))
-                digests.append(hashlib.sha256(kept[-1]).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(digests, pa.string()), pa.array([x.decode() for x in kept], pa.string())], ["key", "n_words", "n_removed", "kept_sha256", "kept"])
-
-    out = both.mapInArrow(run, "key long, n_words long, n_removed long, kept_sha256 string, kept string")
-    return out.select(F.when(F.col("key") != NO_ID, F.col("key")).alias("doc_id"), "n_words", "n_removed", "kept_sha256", "kept")
+
+    def one(raw: bytes, stretches: list[tuple[int, int]]) -> tuple:
+        words = raw.split()
+        n = len(words)
+        for a, b in reversed(stretches):
+            del words[a:b]
+        kept = b" ".join(words)
+        return (n, n - len(words), hashlib.sha256(kept).hexdigest(), *([kept.decode()] if texts else ()))
+
+    schema = [("n_words", pa.int64(), "long"), ("n_removed", pa.int64(), "long"), ("kept_sha256", pa.string(), "string"), ("kept", pa.string(), "string")]
+    return finish(found, repeated_windows(found, WORDS, GRAM, read_words, sort_windows), one, WORDS, schema if texts else schema[:3])
