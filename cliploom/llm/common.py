@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Bytes of text that a Python worker handles at once.
@@ -82,6 +82,20 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
         yield batch.slice(start)
 
 
+def bounded_sample(rows: DataFrame, by: str, most: int) -> DataFrame:
+    """At most `most` rows of each value of `by` (a label of few values), those whose
+    doc_id hashes lowest. Counts thin the rows first, so that what is ranked stays
+    a few times the sample however large the table is."""
+    counted = rows.groupBy(by).count().collect()
+    share = F.lit(1.0)
+    for r in counted:
+        share = F.when(F.col(by) == r[by], F.lit(min(1.0, (2 * most + 100) / r["count"]))).otherwise(share)
+    draw = F.xxhash64("doc_id", F.lit(5))
+    thin = rows.where(F.pmod(draw, F.lit(1 << 30)) < share * (1 << 30))
+    order = Window.partitionBy(by).orderBy(F.pmod(draw, F.lit(1 << 30)), "doc_id")
+    return thin.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= most).drop("__n")
+
+
 def tokenizer_path(name: str) -> str:
     """A vocabulary file: in the folder CLIPLOOM_TOKENIZERS names, else in the
     public_tokenizers package installed on every machine."""

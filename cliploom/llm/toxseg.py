@@ -2,7 +2,7 @@
 
 Lexicon: a word, and its leading letters where the word itself is not known,
 scores the log-odds of its presence in toxic against other labelled texts, under
-a Dirichlet prior spread by how common it is, less two standard errors; what is
+a Dirichlet prior spread by how common it is, less two and a half standard errors; what is
 not clearly toxic costs a little. One scan in linear time finds all disjoint
 maximal segments of a text (Ruzzo and Tompa's method). A segment's score S in a
 text of n words follows an extreme-value law: its chance under clean text is
@@ -25,14 +25,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, held_out, small_batches, texts_of
+from .common import bounded_sample, chunks, held_out, small_batches, texts_of, written
 
 WORD = re.compile(r"[^\W\d_]+")
 STEMS = (6, 5, 4)
-COST, LEAST_SCORE, LEXICON = 0.05, 0.5, 20_000
+COST, LEAST_SCORE, LEXICON = 0.05, 1.0, 20_000
 #: A segment counts as significant below this chance.
 CHANCE = 0.01
 TABLE_SIZE = 400_000
@@ -125,7 +125,7 @@ def _log_odds(toxic, clean, n_toxic: float, n_clean: float):
     """Column of the score of a token with these counts of texts."""
     prior = F.lit(0.5) + F.lit(10.0) * (toxic + clean) / F.lit(n_toxic + n_clean)
     odds = F.log((toxic + prior) / (F.lit(n_toxic + 1.0) + prior)) - F.log((clean + prior) / (F.lit(n_clean + 1.0) + prior))
-    return odds - 2 * F.sqrt(1 / (toxic + prior) + 1 / (clean + prior))
+    return odds - 2.5 * F.sqrt(1 / (toxic + prior) + 1 / (clean + prior))
 
 
 def _scored(texts: list[str], tables: list[Scores], which: list[int]) -> Iterator[tuple[np.ndarray, list[tuple[float, int, int]]]]:
@@ -137,10 +137,11 @@ def _scored(texts: list[str], tables: list[Scores], which: list[int]) -> Iterato
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 10_000) -> Model:
     small_batches(docs.sparkSession)
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
     told = labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy(F.col("doc_id").cast("long")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    chosen = told.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_class).select("doc_id", "toxic", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(2)).cast("int").alias("half"))
-    sample = texts_of(docs).join(chosen, "doc_id")
+    chosen = bounded_sample(told, "toxic", per_class).select("doc_id", "toxic", F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(2)).cast("int").alias("half"))
+    told_texts = written(texts_of(docs).join(F.broadcast(chosen), "doc_id"), "labelled")  # at most 2 * per_class ids
+    once = told_texts.groupBy(F.xxhash64("text").alias("h"), "toxic").agg(F.min("doc_id").alias("doc_id"))
+    sample = told_texts.join(F.broadcast(once.select("doc_id").distinct()), "doc_id", "left_semi")  # a text counts once
     counted = {(r["toxic"], r["half"]): r["count"] for r in sample.groupBy("toxic", "half").count().collect()}
     n = [[counted.get((c, h), 0) for h in (0, 1)] for c in (0, 1)]
     n_clean, n_toxic = sum(n[0]), sum(n[1])
