@@ -12,6 +12,12 @@ each member, never all pairs; components.py joins those of all shards.
 The shard trees travel with their shards, by shuffle: broadcasting every tree to
 every fingerprint would compare all pairs of a corpus.
 
+`similar_groups` and `dedup` are the wider form for a given Jaccard similarity of
+shingles: fingerprints of 256 bits, linked up to the number of differing bits that
+the similarity leads to. Such a radius leaves no block equal for sure, so shards
+are drawn bits: as many bits as keep a shard small and as many draws as make a
+pair at the similarity meet with probability MEET; closer pairs meet sooner.
+
 Defined results: null or empty texts have fingerprint zero and link like others;
 texts of fewer words than a shingle are one shingle; rows that repeat a doc_id
 count as one node; a null doc_id sorts before all others.
@@ -19,6 +25,7 @@ count as one node; a null doc_id sorts before all others.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -36,26 +43,47 @@ RADIUS, BLOCKS, BLOCK_BITS, SEED = 3, 4, 16, 42
 #: Fingerprints of a shard that the number of leading bits aims at.
 SHARD_SIZE = 2048
 LEAF = 24
+#: 64-bit words of a wide fingerprint; chance that a pair at the similarity meets.
+WIDE, MEET = 4, 0.96
 
 
-def fingerprint(raw: bytes, words: int) -> int:
+def shingle_hashes(raw: bytes, words: int) -> np.ndarray:
+    """XXH64 of each shingle of lower-cased words, repeats included."""
     split = raw.lower().split()
-    if not split:
-        return 0
     if len(split) <= words:
-        hashes = np.asarray([xxhash.xxh64_intdigest(b" ".join(split), SEED)], "<u8")
-    else:
-        joined = b" ".join(split)
-        ends = list(accumulate([len(w) + 1 for w in split]))
-        starts = [0, *ends]
-        digest = xxhash.xxh64_intdigest
-        hashes = np.asarray([digest(joined[a : b - 1], SEED) for a, b in zip(starts, ends[words - 1 :], strict=False)], "<u8")
+        return np.asarray([xxhash.xxh64_intdigest(b" ".join(split), SEED)] if split else [], "<u8")
+    joined = b" ".join(split)
+    ends = list(accumulate([len(w) + 1 for w in split]))
+    starts = [0, *ends]
+    digest = xxhash.xxh64_intdigest
+    return np.asarray([digest(joined[a : b - 1], SEED) for a, b in zip(starts, ends[words - 1 :], strict=False)], "<u8")
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits set in over half of the hashes; none of no hashes."""
     ones = np.zeros(64, np.int64)
     for i in range(0, len(hashes), 1 << 14):
         ones += np.unpackbits(hashes[i : i + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(raw: bytes, words: int) -> int:
+    return majority(shingle_hashes(raw, words))
+
+
+def remixed(h: np.ndarray, round_: int) -> np.ndarray:
+    """A further 64 bits of each hash."""
+    h = h + np.uint64(0x9E3779B97F4A7C15 * round_ % (1 << 64))
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def wide_fingerprint(raw: bytes, words: int) -> bytes:
+    hashes = shingle_hashes(raw, words)
+    return b"".join(majority(remixed(hashes, i)).to_bytes(8, "little") for i in range(1, WIDE + 1))
+
+
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     """key (doc_id, never null) and fp (the unsigned fingerprint's bits as a long)."""
     small_batches(docs.sparkSession)
@@ -68,15 +96,20 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     return keyed(docs).mapInArrow(run, "key long, fp long")
 
 
+def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of codes held as rows of 64-bit words."""
+    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
+
+
 class BkTree:
-    """A BK-tree over distinct 64-bit codes; nodes with few codes stay leaves."""
+    """A BK-tree over distinct codes; nodes with few codes stay leaves."""
 
     def __init__(self, codes: np.ndarray):
         self.codes = codes
         self.root = self._node(np.arange(len(codes)))
 
     def _node(self, members: np.ndarray):
-        """A leaf's members, or (pivot, [(distance, child), ...])."""
+        """(members, None) of a leaf, or (pivot, [(distance, [child]), ...])."""
         top: list = []
         todo = [(members, top)]
         while todo:
@@ -85,7 +118,7 @@ class BkTree:
                 into.append((members, None))
                 continue
             pivot, rest = members[0], members[1:]
-            far = np.bitwise_count(self.codes[rest] ^ self.codes[pivot])
+            far = distances(self.codes[rest], self.codes[pivot])
             children = []
             for d in np.unique(far):
                 child: list = []
@@ -102,10 +135,10 @@ class BkTree:
             (what, children), asking = todo.pop()
             if children is None:
                 for i in what:
-                    hit = asking[np.bitwise_count(self.codes[asking] ^ self.codes[i]) <= radius]
+                    hit = asking[distances(self.codes[asking], self.codes[i]) <= radius]
                     yield np.full(len(hit), i), hit
                 continue
-            far = np.bitwise_count(self.codes[asking] ^ self.codes[what]).astype(np.int64)
+            far = distances(self.codes[asking], self.codes[what])
             hit = asking[far <= radius]
             yield np.full(len(hit), what), hit
             for d, child in children:
@@ -115,7 +148,7 @@ class BkTree:
 
 
 def spanning(codes: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """(member, root) for every code that is not the root of its component."""
+    """(member, root) for every code (a row of words) that is not the root of its component."""
     parent = np.arange(len(codes))
 
     def roots(of: np.ndarray) -> np.ndarray:
@@ -144,7 +177,7 @@ def link(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
 
     def run(key: tuple, found: pa.Table) -> pa.Table:
         codes = np.unique(found.column("fp").to_numpy().view(np.uint64))
-        low, high = spanning(codes, radius)
+        low, high = spanning(codes[:, None], radius)
         return pa.table([pa.array(codes[low].view(np.int64)), pa.array(codes[high].view(np.int64))], ["u", "v"])
 
     dealt = nodes.select("fp", F.explode(F.array(*shards)).alias("shard"))
@@ -166,7 +199,63 @@ def near_groups(docs: DataFrame, words: int = 3, radius: int = RADIUS) -> DataFr
     return found.join(of_fp, "fp").select(back("key"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), back("component_id"))
 
 
-def dedup(docs: DataFrame, words: int = 3, radius: int = RADIUS) -> DataFrame:
+def expected_share(similarity: float) -> float:
+    """Share of bits in which texts of this Jaccard similarity differ, about."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def draws(n: int, share: float) -> tuple[int, int]:
+    """Bits of a drawn shard key, and how many keys a code gets."""
+    bits = min(24, max(8, math.ceil(math.log2(max(1, n) / 64))))
+    return bits, math.ceil(math.log(1 - MEET) / math.log(1 - (1 - share) ** bits))
+
+
+def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """least, component_id: for the smallest doc_id of each distinct wide fingerprint
+    the smallest of all it is linked with (keys as in fingerprints(), never null)."""
+    small_batches(docs.sparkSession)
+    share, width = expected_share(similarity), 64 * WIDE
+    radius = int(width * share + 0.75 * math.sqrt(width * share * (1 - share)))
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([wide_fingerprint(t.encode(), words) for t in batch.column("text").to_pylist()], pa.binary())], ["key", "fp"])
+
+    found = keyed(docs).mapInArrow(marked, "key long, fp binary")
+    nodes = written(found.groupBy("fp").agg(F.min("key").alias("least")), "wide")
+    n = nodes.count()
+    bits, times = draws(n, share)
+    chosen = np.stack([np.random.default_rng([SEED, i]).permutation(width)[:bits] for i in range(times)])
+    shards = max(1, n * times // 20_000)
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = np.frombuffer(b"".join(batch.column("fp").to_pylist()), np.uint8).reshape(-1, 8 * WIDE)
+            ones = np.unpackbits(codes, axis=1, bitorder="little").astype(np.int64)
+            for i, at in enumerate(chosen):
+                key = (np.int64(i) << 32) | (ones[:, at] << np.arange(bits)).sum(axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(key), batch.column("least"), batch.column("fp")], ["drawn", "least", "fp"])
+
+    def linked(key: tuple, found: pa.Table) -> pa.Table:
+        drawn, least = found.column("drawn").to_numpy(), found.column("least").to_numpy()
+        codes = np.frombuffer(b"".join(found.column("fp").to_pylist()), np.uint64).reshape(-1, WIDE)
+        order = np.lexsort((least, drawn))
+        edges = np.append(np.flatnonzero(np.append(True, np.diff(drawn[order]) != 0)), len(order))
+        low, high = [], []
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            if b - a > 1:
+                of = order[a:b]
+                i, j = spanning(codes[of], radius)
+                low.append(least[of[i]])
+                high.append(least[of[j]])
+        return pa.table([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in (low, high)], ["u", "v"])
+
+    spread = nodes.mapInArrow(dealt, "drawn long, least long, fp binary").withColumn("shard", F.pmod(F.xxhash64("drawn"), F.lit(shards)))
+    up = components(spread.groupBy("shard").applyInArrow(linked, "u long, v long"))
+    return nodes.select("least").join(up, nodes["least"] == up["u"], "left").select("least", F.coalesce("v", "least").alias("component_id"))
+
+
+def dedup(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """The documents with the smallest doc_id of each group, unchanged."""
-    keep = near_groups(docs, words, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(keep, docs["doc_id"].cast("long").eqNullSafe(F.col("__keep")), "left_semi")
+    keep = similar_groups(docs, words, similarity).where("least = component_id").select(F.col("least").alias("__keep"))
+    return docs.join(keep, F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)) == F.col("__keep"), "left_semi")

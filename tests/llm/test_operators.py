@@ -290,13 +290,32 @@ def test_op8_trees_lose_no_link():
     base = g.integers(0, 1 << 63, 150, np.uint64)
     near = base ^ (np.uint64(1) << g.integers(0, 63, 150).astype(np.uint64))
     codes = np.unique(np.concatenate([base, near, near ^ np.uint64(6)]))
-    low, high = bksimhash.spanning(codes, 3)
+    low, high = bksimhash.spanning(codes[:, None], 3)
     root = dict(zip(low.tolist(), high.tolist(), strict=True))
     for i in range(len(codes)):
         for j in np.flatnonzero(np.bitwise_count(codes ^ codes[i]) <= 3).tolist():
             assert root.get(i, i) == root.get(j, j)
 
 
+def test_op8_similar_texts_leave_one(spark):
+    base = [words(150) for _ in range(30)]
+    rows = [(i, " ".join(x)) for i, x in enumerate(base)]
+    for i, x in enumerate(base[:12]):
+        y = list(x)
+        y[70] = "changed"
+        rows.append((100 + i, " ".join(y)))
+    rows += [(200 + i, " ".join(x[:75] + words(75))) for i, x in enumerate(base)]
+    rows += [(300, None), (301, ""), (302, "short text"), (303, "Short  text")]
+    kept = {r["doc_id"] for r in bksimhash.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == set(range(30)) | {200 + i for i in range(30)} | {300, 302}
+
+
+def test_op8_wide_bits_follow_similarity():
+    assert bksimhash.expected_share(1.0) == 0 and 0.14 < bksimhash.expected_share(0.8) < 0.16
+    bits, times = bksimhash.draws(236_000, bksimhash.expected_share(0.8))
+    assert 1 - (1 - (1 - bksimhash.expected_share(0.8)) ** bits) ** times >= bksimhash.MEET
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, i) for i in range(101, 160)] + [(7, 7)]
     out = {r["u"]: r["v"] for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
