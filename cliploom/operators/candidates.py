@@ -41,3 +41,22 @@ def copy_plan(utterances: DataFrame, listed: DataFrame) -> tuple[DataFrame, Data
 
 def train_list(utterances: DataFrame) -> DataFrame:
     return utterances.select(F.concat_ws(" ", "speaker_id", "export_path").alias("value")).orderBy("value")
+
+
+def located(metadata: DataFrame, listed: DataFrame, root: str) -> DataFrame:
+    """metadata (audio_path) with source: the listed file below `root`, else the one
+    at the path itself, else null."""
+    files = listed.select("path").distinct()
+    below = files.select(F.col("path").alias("__below"), F.lit(1).alias("__b"))
+    there = files.select(F.col("path").alias("__there"), F.lit(1).alias("__t"))
+    relative = F.concat(F.lit(root.rstrip("/") + "/"), F.col("audio_path"))
+    out = metadata.join(below, relative == F.col("__below"), "left").join(there, F.col("audio_path") == F.col("__there"), "left")
+    return out.withColumn("source", F.coalesce("__below", "__there")).drop("__below", "__b", "__there", "__t")
+
+
+def with_names(rows: DataFrame, speakers: DataFrame) -> DataFrame:
+    """rows with the name and gender of their speaker, else their own, else unknown."""
+    known = speakers.select("speaker_id", F.col("name").alias("__name"), F.col("gender").alias("__gender"))
+    own = lambda c: F.col(c) if c in rows.columns else F.lit(None).cast("string")
+    out = rows.join(known, "speaker_id", "left")
+    return out.withColumn("speaker_name", F.coalesce("__name", own("speaker_name"), "speaker_id")).withColumn("gender", F.coalesce("__gender", own("gender"), F.lit("unknown"))).drop("__name", "__gender")

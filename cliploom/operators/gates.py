@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Settings
+from ..functions.arrays import median
 from ..functions.columns import clip, number, or_blank
 
 
@@ -108,3 +109,8 @@ def proposal_score(confidence: Column, visual: Column, audio: Column, duration:
 
 def selection_digest(df: DataFrame) -> DataFrame:
     return df.withColumn("digest", or_blank("sha1", "candidate_path"))
+
+
+def visual_score(differences: Column) -> Column:
+    """Median mouth difference over 0.035, within 0 and 1; 0 with fewer than two."""
+    return F.when(F.size(differences) >= 2, clip(median(differences) / 0.035)).otherwise(0.0)

@@ -50,3 +50,12 @@ def to_windows(found: DataFrame, s: Settings) -> DataFrame:
     scored = cut.withColumn("score", proposal_score(F.col("confidence"), F.col("visual"), F.col("audio"), F.col("end") - F.col("start"), s.target_segment_seconds))
     ordered = scored.withColumn("row_ord", F.row_number().over(Window.partitionBy("track_id").orderBy("start", "end")).cast("long"))
     return suppress(ordered, ["track_id"], s.candidate_nms_iou, s.max_candidates_per_video)
+
+
+def active_tracks(tracks: DataFrame, windows: DataFrame, least: float, det_score: float) -> DataFrame:
+    """Tracks with an active window; where none of a video's tracks has one, those
+    detected well enough."""
+    found = windows.where(F.col("confidence") >= least).select("track_id").distinct()
+    active = tracks.join(found, "track_id", "left_semi")
+    rest = tracks.join(active.select("video_id").distinct(), "video_id", "left_anti").where(F.col("avg_det_score") >= det_score)
+    return active.unionByName(rest)

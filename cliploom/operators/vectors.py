@@ -69,3 +69,27 @@ def competitors(segments: DataFrame, tracks: DataFrame, points: DataFrame, fps:
     share = met.groupBy("segment_id", "track_id").agg((F.count("*") / F.greatest(F.lit(1), F.first("last") - F.first("first") + 1)).alias("coverage")).where(F.col("coverage") >= least)
     order = Window.partitionBy("segment_id").orderBy(F.desc("coverage"), "track_id")
     return share.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most)
+
+
+def best_faces(faces: DataFrame, by: str) -> DataFrame:
+    """Of each image the face with the largest area times score, the first of equals."""
+    area = (F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1"))
+    order = Window.partitionBy(by).orderBy(F.desc(area * F.col("det_score")), "face_ord")
+    return faces.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
+
+
+def gallery(known: DataFrame, rivals: DataFrame) -> DataFrame:
+    """Known references and those of rivals that are not known themselves."""
+    return known.unionByName(rivals.join(known.select("speaker_id").distinct(), "speaker_id", "left_anti"), allowMissingColumns=True)
+
+
+def with_consistency(identified: DataFrame, consistency: DataFrame, key: str, least: float = 0.75) -> DataFrame:
+    """identified with face_track_consistency and is_identified: an inconsistent
+    track is unknown, but keeps its scores; so is one without a template."""
+    out = consistency.select(key, F.col("embedding_consistency").alias("face_track_consistency")).join(identified, key, "left")
+    known = F.coalesce((F.col("face_track_consistency") >= least) & (F.col("speaker_id") != "unknown"), F.lit(False))
+    return out.select(key, F.when(known, F.col("speaker_id")).otherwise("unknown").alias("speaker_id"), F.coalesce("face_conf", F.lit(0.0)).alias("face_conf"), F.coalesce("face_other_conf", F.lit(-1.0)).alias("face_other_conf"), F.coalesce("face_margin", F.lit(0.0)).alias("face_margin"), "face_track_consistency", known.alias("is_identified"))
+
+
+def of_target(identified: DataFrame, speaker: str) -> DataFrame:
+    return identified.where(F.col("is_identified") & (F.col("speaker_id") == speaker))

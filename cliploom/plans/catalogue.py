@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..config import Settings
 from ..functions import arrays
 from ..functions.columns import canonical_path, number, spaced
-from ..operators import candidates, gates, intervals, manifest, metrics, rejections, review, selection, stats, store, sync, tracking, trials, vectors
+from ..operators import candidates, gates, intervals, manifest, metrics, proposals, rejections, review, selection, stats, store, sync, tracking, trials, vectors
 from .bindings import CANDIDATES, CLIPS, SEGMENTS, bound, duck
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,7 +25,8 @@ def query(sql: str | None = None, **bindings: str):
         QUERIES[f.__name__] = f
         if sql:
             parts = [f"{name} AS ({duck(text)})" for name, text in bindings.items()]
-            ORACLE_SQL[f.__name__] = sql.replace("WITH+", f"WITH {', '.join(parts)}")
+            listed = ", ".join(parts)
+            ORACLE_SQL[f.__name__] = sql.replace("WITH+ RECURSIVE", f"WITH RECURSIVE {listed}").replace("WITH+", f"WITH {listed}")
         return f
 
     return add
@@ -393,19 +394,44 @@ def selection_quota_simple(spark, sf):
     return found.select("speaker_id", "video_id", "row_ord", F.col("selection_rank").cast("long").alias("selection_rank"))
 
 
-@query()
+_FULL = f"""{_RANKED.replace("__WHERE__", "file_exists")}, vb AS (SELECT speaker_id, video_id, min(position) AS best FROM rk GROUP BY 1, 2),
+    x AS (SELECT *, row_number() OVER (PARTITION BY speaker_id ORDER BY phase, vbest, position) AS n FROM (
+        SELECT rk.*, 1 AS phase, best AS vbest FROM rk JOIN vb USING (speaker_id, video_id) UNION ALL SELECT *, 2, 0 FROM rk UNION ALL SELECT *, 3, 0 FROM rk)),
+    step AS (
+        SELECT speaker_id, 0::BIGINT AS n, []::STRUCT(r BIGINT, v VARCHAR, d VARCHAR, a DOUBLE, b DOUBLE)[] AS taken FROM (SELECT DISTINCT speaker_id FROM rk)
+        UNION ALL
+        SELECT s.speaker_id, x.n, CASE WHEN len(list_filter(taken, lambda t: t.d = x.digest)) = 0
+            AND (phase = 3 OR len(list_filter(taken, lambda t: t.v = x.video_id)) < CASE phase WHEN 1 THEN 5 ELSE 20 END)
+            AND len(list_filter(taken, lambda t: t.v = x.video_id AND greatest(0, least(x."end", t.b) - greatest(x.start, t.a)) / (greatest(x."end", t.b) - least(x.start, t.a)) > 0.05::DOUBLE)) = 0
+            THEN list_append(taken, {{'r': x.row_ord, 'v': x.video_id, 'd': x.digest, 'a': x.start, 'b': x."end"}}) ELSE taken END
+        FROM step s JOIN x ON x.speaker_id = s.speaker_id AND x.n = s.n + 1 WHERE len(taken) < 50),
+    done AS (SELECT speaker_id, taken FROM step QUALIFY row_number() OVER (PARTITION BY speaker_id ORDER BY n DESC) = 1),
+    sel AS (SELECT speaker_id, taken[i].r AS row_ord, CAST(i - 1 AS INTEGER) AS selection_rank FROM (SELECT *, unnest(range(1, len(taken) + 1)) AS i FROM done))"""
+
+
+@query(f"{_FULL} SELECT speaker_id, row_ord, selection_rank FROM sel".replace("WITH+", "WITH+ RECURSIVE", 1), c=CANDIDATES)
 def selection_balanced_full(spark, sf):
     return selection.select_balanced(_ranked(spark, sf, "file_exists"))
 
 
-@query()
+@query(f"""{_FULL} SELECT rk.speaker_id, rk.video_id, rk.row_ord, CAST(selection_rank IS NOT NULL AS INTEGER) AS approved, coalesce(selection_rank, -1) AS selection_rank,
+    CAST(CASE WHEN selection_rank IS NULL THEN -1 ELSE row_number() OVER (PARTITION BY rk.speaker_id, rk.video_id, selection_rank IS NOT NULL ORDER BY selection_rank) - 1 END AS INTEGER) AS approved_index
+    FROM rk LEFT JOIN sel USING (speaker_id, row_ord)""".replace("WITH+", "WITH+ RECURSIVE", 1), c=CANDIDATES)
 def approved_index(spark, sf):
     rows = _ranked(spark, sf, "file_exists")
     done = selection.with_approval(rows, selection.select_balanced(rows))
     return done.select("speaker_id", "video_id", "row_ord", "approved", "selection_rank", "approved_index")
 
 
-@query()
+@query("""WITH+ RECURSIVE , x AS (SELECT *, row_number() OVER (PARTITION BY speaker_id, video_id ORDER BY score DESC, row_ord) AS n FROM s),
+    step AS (
+        SELECT speaker_id, video_id, 0::BIGINT AS n, []::STRUCT(r BIGINT, a DOUBLE, b DOUBLE)[] AS kept FROM (SELECT DISTINCT speaker_id, video_id FROM s)
+        UNION ALL
+        SELECT p.speaker_id, p.video_id, x.n, CASE WHEN len(kept) < 20 AND len(list_filter(kept, lambda t: greatest(0, least(x."end", t.b) - greatest(x.start, t.a)) > 0.05::DOUBLE * (greatest(x."end", t.b) - least(x.start, t.a)))) = 0
+            THEN list_append(kept, {'r': x.row_ord, 'a': x.start, 'b': x."end"}) ELSE kept END
+        FROM step p JOIN x ON x.speaker_id = p.speaker_id AND x.video_id = p.video_id AND x.n = p.n + 1),
+    done AS (SELECT * FROM step QUALIFY row_number() OVER (PARTITION BY speaker_id, video_id ORDER BY n DESC) = 1)
+    SELECT speaker_id, video_id, CAST(i - 1 AS INTEGER) AS place, kept[i].r AS row_ord, kept[i].a AS start, kept[i].b AS "end" FROM (SELECT *, unnest(range(1, len(kept) + 1)) AS i FROM done)""", s=SEGMENTS)
 def greedy_nms(spark, sf):
     return selection.suppress(bound(spark, sf, SEGMENTS), ["speaker_id", "video_id"], 0.05, 20)
 
@@ -643,3 +669,68 @@ def greedy_tracking(spark, sf):
 def consecutive_difference(spark, sf):
     order = Window.partitionBy("conv_id").orderBy("turn")
     return read(spark, sf, "conversations").select("conv_id", "turn", "role", F.lag("role").over(order).alias("before"), F.coalesce(F.length("text") - F.lag(F.length("text")).over(order), F.lit(0)).cast("long").alias("change"))
+
+
+# --- references, identities and exports ---------------------------------------------------
+
+
+@query("SELECT o_custkey, o_orderkey FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice * (o_orderkey % 7 + 1) DESC, o_orderkey) = 1")
+def best_face_reference(spark, sf):
+    rows = read(spark, sf, "orders").select("o_custkey", "o_orderkey", F.lit(0.0).alias("x1"), F.lit(0.0).alias("y1"), F.col("o_totalprice").alias("x2"), F.lit(1.0).alias("y2"), (F.col("o_orderkey") % 7 + 1).alias("det_score"), F.col("o_orderkey").alias("face_ord"))
+    return vectors.best_faces(rows, "o_custkey").select("o_custkey", "o_orderkey")
+
+
+@query("SELECT CAST(s_suppkey AS VARCHAR) AS speaker_id, 'known' AS origin FROM supplier WHERE s_acctbal > 0 UNION ALL SELECT CAST(s_suppkey AS VARCHAR), 'rival' FROM supplier WHERE s_nationkey < 10 AND NOT s_acctbal > 0")
+def gallery_union(spark, sf):
+    rows = read(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("speaker_id"), "s_acctbal", "s_nationkey")
+    return vectors.gallery(rows.where("s_acctbal > 0").select("speaker_id", F.lit("known").alias("origin")), rows.where("s_nationkey < 10").select("speaker_id", F.lit("rival").alias("origin")))
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN 0.6 + l_discount * 4 >= 0.75 AND l_returnflag <> 'N' AND l_tax > 0.02 THEN l_returnflag ELSE 'unknown' END AS speaker_id,
+    CASE WHEN l_tax > 0.02 THEN l_quantity ELSE 0 END AS face_conf, 0.6 + l_discount * 4 >= 0.75 AND l_returnflag <> 'N' AND l_tax > 0.02 AS is_identified FROM lineitem""")
+def identity_consistency(spark, sf):
+    rows = read(spark, sf, "lineitem").select(F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_shipdate", "l_suppkey", "l_extendedprice").alias("k"), "l_returnflag", "l_tax", "l_quantity", (0.6 + F.col("l_discount") * 4).alias("embedding_consistency"))
+    found = rows.where("l_tax > 0.02").select("k", F.when(F.col("l_returnflag") == "N", "unknown").otherwise(F.col("l_returnflag")).alias("speaker_id"), F.col("l_quantity").alias("face_conf"), F.lit(0.0).alias("face_other_conf"), F.lit(0.1).alias("face_margin"))
+    return vectors.with_consistency(found, rows, "k", 0.75).select("k.l_orderkey", "k.l_linenumber", "k.l_partkey", "speaker_id", "face_conf", "is_identified")
+
+
+@query("SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'root/a' || page_id || '.wav' WHEN page_id % 3 = 1 THEN 'a' || page_id || '.wav' ELSE '' END AS source FROM pages")
+def export_source_lookup(spark, sf):
+    rows = read(spark, sf, "pages").select("page_id", F.concat(F.lit("a"), F.col("page_id").cast("string"), F.lit(".wav")).alias("audio_path"))
+    listed = rows.where("page_id % 3 = 0").select(F.concat(F.lit("root/"), "audio_path").alias("path")).union(rows.where("page_id % 3 < 2").select("audio_path"))
+    return candidates.located(rows, listed, "root").select("page_id", F.coalesce("source", F.lit("")).alias("source"))
+
+
+@query("SELECT o_orderkey, coalesce(s_name, 'speaker ' || o_custkey) AS speaker_name, CASE WHEN s_suppkey IS NULL THEN 'unknown' ELSE CASE WHEN s_nationkey % 2 = 0 THEN 'f' ELSE 'm' END END AS gender FROM orders LEFT JOIN supplier ON s_suppkey = o_custkey")
+def name_lookup(spark, sf):
+    rows = read(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("speaker_id"), F.concat(F.lit("speaker "), F.col("o_custkey").cast("string")).alias("speaker_name"))
+    speakers = read(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("speaker_id"), F.col("s_name").alias("name"), F.when(F.col("s_nationkey") % 2 == 0, "f").otherwise("m").alias("gender"))
+    return candidates.with_names(rows, speakers).select("o_orderkey", "speaker_name", "gender")
+
+
+@query("SELECT CAST(user_id AS VARCHAR) AS track_id, CASE WHEN count(*) >= 2 THEN round(least(1, median(value / 2000) / 0.035::DOUBLE), 6) ELSE 0 END AS visual_score FROM events GROUP BY 1")
+def mouth_motion_score(spark, sf):
+    rows = read(spark, sf, "events").groupBy(F.col("user_id").cast("string").alias("track_id")).agg(F.collect_list(F.col("value") / 2000).alias("d"))
+    return rows.select("track_id", F.round(gates.visual_score(F.col("d")), 6).alias("visual_score"))
+
+
+@query("""WITH a AS (SELECT DISTINCT user_id, event_type FROM events WHERE value > 100), t AS (SELECT user_id, event_type, avg(value) AS s FROM events GROUP BY 1, 2)
+    SELECT user_id || event_type AS track_id FROM t WHERE EXISTS (SELECT 1 FROM a WHERE a.user_id = t.user_id AND a.event_type = t.event_type) OR (user_id NOT IN (SELECT user_id FROM a) AND s >= 20)""")
+def active_track_fallback(spark, sf):
+    rows = read(spark, sf, "events").select(F.concat(F.col("user_id").cast("string"), "event_type").alias("track_id"), F.col("user_id").cast("string").alias("video_id"), "value")
+    tracks = rows.groupBy("track_id", "video_id").agg(F.avg("value").alias("avg_det_score"))
+    return proposals.active_tracks(tracks, rows.withColumn("confidence", F.col("value")).where("value > 100"), 100.0, 20.0).select("track_id")
+
+
+_WIN = "SELECT CAST(user_id AS STRING) AS track_id, floor(CAST({us} AS DOUBLE) / 10000000000) AS w, floor(CAST({us} AS DOUBLE) / 10000000000) * 1.0 AS start, floor(CAST({us} AS DOUBLE) / 10000000000) + 1.5 AS `end`, least(1, value / 60) AS confidence, 0.5 AS audio, 0.5 AS visual FROM {events}"
+
+
+@query("""WITH+ , a AS (SELECT track_id, CAST(start AS DOUBLE) AS start, CAST("end" AS DOUBLE) AS "end", confidence FROM w WHERE confidence >= 0.30),
+    f AS (SELECT *, max("end") OVER (PARTITION BY track_id ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS far FROM a),
+    g AS (SELECT *, sum(CASE WHEN far IS NULL OR start > far + 1.10::DOUBLE THEN 1 ELSE 0 END) OVER (PARTITION BY track_id ORDER BY start, "end" ROWS UNBOUNDED PRECEDING) AS island FROM f),
+    m AS (SELECT track_id, min(start) AS start, max("end") AS "end", avg(confidence) AS confidence FROM g GROUP BY track_id, island)
+    SELECT track_id, start, "end", round(confidence, 6) AS confidence FROM m WHERE "end" - start >= 2""", w=_WIN)
+def speech_proposals(spark, sf):
+    rows = bound(spark, sf, _WIN)
+    rows = rows.select("track_id", *(F.col(c).cast("double").alias(c) for c in ("start", "end", "confidence", "audio", "visual")))
+    return rounded(proposals.propose(rows, S).select("track_id", "start", "end", "confidence"), "confidence")

@@ -185,3 +185,25 @@ def copy_files(plan: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=["target", "bytes", "error"])
 
     return plan.select("source", "target").mapInPandas(run, "target string, bytes long, error string")
+
+
+def write_files(df: DataFrame) -> DataFrame:
+    """Writes `content` to `path` on a shared file system, whole or not at all;
+    (path, bytes, error)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pathlib import Path
+
+        for pdf in batches:
+            rows = []
+            for path, content in zip(pdf["path"], pdf["content"], strict=True):
+                try:
+                    Path(path).parent.mkdir(parents=True, exist_ok=True)
+                    Path(f"{path}.part").write_bytes(content)
+                    Path(f"{path}.part").replace(path)
+                    rows.append((path, len(content), None))
+                except OSError as e:
+                    rows.append((path, 0, str(e)))
+            yield pd.DataFrame(rows, columns=["path", "bytes", "error"])
+
+    return df.select("path", "content").mapInPandas(run, "path string, bytes long, error string")

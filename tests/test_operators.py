@@ -278,3 +278,66 @@ def test_streaming_sessions(spark, tmp_path):
     q = live.sessions(stream, ["k"]).writeStream.outputMode("append").format("memory").queryName("sess").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert sorted(r["total"] for r in spark.sql("select * from sess").collect())[:2] == [3.0, 4.0]
+
+
+def test_speech_mask_and_snr_against_numpy(spark):
+    g = np.random.default_rng(6)
+    x = g.normal(size=(40, 64)) * g.choice([0.01, 1.0], size=(40, 64))
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "i long, v array<double>")
+    out = df.withColumn("m", arrays.speech_mask(F.col("v"), 1000, 8.0, 0.003)).select("i", "m", arrays.snr_db(F.col("v"), F.col("m")).alias("snr")).collect()
+    for r in out:
+        v = x[r["i"]]
+        levels = [math.sqrt((v[k : k + 8] ** 2).mean() + 1e-12) for k in range(0, 57, 4)]
+        bar, mask = max(np.percentile(levels, 35), 0.003), np.zeros(64, bool)
+        for k, level in enumerate(levels):
+            if level >= bar:
+                mask[4 * k : 4 * k + 8] = True
+        assert r["m"] == mask.tolist()
+        if mask.any() and not mask.all():
+            assert r["snr"] == pytest.approx(10 * math.log10(((v[mask] ** 2).mean() + 1e-12) / ((v[~mask] ** 2).mean() + 1e-12)))
+
+
+def test_framewise_against_numpy(spark):
+    g = np.random.default_rng(8)
+    d = g.random((70, 21))
+    d[:, 11] -= 3.0
+    d[30:40, 2] -= 40.0
+    df = spark.createDataFrame([("p", i, [float(v) for v in r]) for i, r in enumerate(d)], "probe_id string, frame int, dist array<double>")
+    pad = lambda a, h: np.concatenate([np.repeat(a[:1], h, 0), a, np.repeat(a[-1:], h, 0)])
+    smooth = np.stack([pad(d, 25)[i : i + 51].mean(axis=0) for i in range(70)])
+    best = smooth.argmin(axis=1)
+    raw = np.median(smooth, axis=1) - d[np.arange(70), best]
+    raw[np.abs(10 - best) > 3] = -99
+    want = np.asarray([np.median(pad(raw, 4)[i : i + 9]) for i in range(70)])
+    rows = sync.framewise(df, S).orderBy("frame").collect()
+    assert [r["offset"] for r in rows] == (10 - best).tolist()
+    assert [r["confidence"] for r in rows] == pytest.approx(want.tolist())
+
+
+def test_stratified_table(spark):
+    df = spark.createDataFrame([("v", i) for i in range(6)] + [("w", i) for i in range(4)], "video_id string, idx int")
+    out = {(r["video_id"], r["visit"]): r["idx"] for r in intervals.stratified(df).collect()}
+    assert [out["v", i] for i in range(6)] == [0, 2, 5, 1, 3, 4] and [out["w", i] for i in range(4)] == [0, 2, 3, 1]
+
+
+def test_command_line_end_to_end(spark, tmp_path):
+    from cliploom import cli
+    from cliploom.operators import trials as trials_
+
+    work, rng = tmp_path / "work", random.Random(2)
+    (tmp_path / "c.yaml").write_text("quota: {target_per_speaker: 8, max_per_video: 5, min_per_video: 2, early_stop_candidates: 25}\nmin_clips: 8\nspeakers:\n" + "".join(f" - {{id: s{s}, name: n{s}, videos: [{{youtube_id: v{s}a}}, {{youtube_id: v{s}b}}]}}\n" for s in (1, 2)))
+    windows = [(f"v{s}{v}", 0, 0.0, 600.0, "w0", 600.0) for s in (1, 2) for v in "ab"]
+    spark.createDataFrame(windows, "video_id string, idx int, start double, duration double, tag string, video_duration double").write.parquet(str(work / "windows"))
+    rows = [{"speaker_id": f"s{s}", "video_id": f"v{s}{v}", "chunk_tag": "w0", "start": 10.0 * i, "end": 10.0 * i + 3, "face_conf": 0.7 + rng.random() / 4, "face_margin": 0.3, "face_track_consistency": 0.9, "vad_ratio": 0.9, "snr_db": 20.0, "quality_score": 0.8, "active_confidence": 0.5, "syncnet_confidence": 6.0, "syncnet_verified": 1, "syncnet_unambiguous": 1, "syncnet_offset_frames": 0, "candidate_profile": "standard", "speaker_name": f"n{s}", "gender": "f", "candidate_path": f"{s}{v}{i}", "sha1": f"h{s}{v}{i}"} for s in (1, 2) for v in "ab" for i in range(7)]
+    spark.createDataFrame(pd.DataFrame(rows)).write.parquet(str(work / "segments"))
+    base = ["--config", str(tmp_path / "c.yaml"), "--workspace", str(work), "--out", str(tmp_path / "V.md")]
+    assert cli.main(["all", *base]) == 0
+    got = spark.read.parquet(str(work / "utterances"))
+    assert {r["speaker_id"]: r["count"] for r in got.groupBy("speaker_id").count().collect()} == {"s1": 8, "s2": 8}
+    assert "| overlap | 0 |" in (tmp_path / "V.md").read_text()
+    assert cli.main(["candidates", *base]) == 0  # nothing is pending: the ledger holds every unit
+    assert spark.read.parquet(str(work / "candidates")).count() == len(rows)
+    assert cli.main(["review", *base, "--approved-only"]) == 0
+    assert trials_.target_pairs(got.withColumn("path", F.col("export_path")), "A").count() > 0
+    with pytest.raises(SystemExit):
+        cli.main(["approve-auto", *base, "--speaker-id", "nobody"])
