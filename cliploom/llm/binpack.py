@@ -26,7 +26,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .bpedp import byte_alphabet
 from .common import chunks, small_batches, texts_of, tokenizer_path, written
