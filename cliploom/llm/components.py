@@ -2,9 +2,9 @@
 
 Large and small stars alternate until nothing changes: every node's larger
 neighbours are tied to its smallest, then its smaller ones are. Minima are partial
-aggregates and joins, never windows, so that a node with a third of all edges is
-pre-aggregated and its join can be split. Each round is written to the shared
-folder; only counts reach the driver.
+aggregates, never windows, and are written before they are joined: both sides of
+the join are then plain shuffles, which Spark splits where a node has a third of
+all edges. Each round is written to the shared folder; only counts reach the driver.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from .common import written
 
 def _tied(edges: DataFrame, directed: bool) -> DataFrame:
     """Small star of edges u > v, or large star of edges both ways."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+    least = written(edges.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "least")
     both = edges.join(least, "u")
     if directed:
         out = both.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
