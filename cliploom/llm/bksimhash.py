@@ -13,10 +13,13 @@ The shard trees travel with their shards, by shuffle: broadcasting every tree to
 every fingerprint would compare all pairs of a corpus.
 
 `similar_groups` and `dedup` are the wider form for a given Jaccard similarity of
-shingles: fingerprints of 256 bits, linked up to the number of differing bits that
-the similarity leads to. Such a radius leaves no block equal for sure, so shards
-are drawn bits: as many bits as keep a shard small and as many draws as make a
-pair at the similarity meet with probability MEET; closer pairs meet sooner.
+distinct shingles: fingerprints of 256 bits, within two standard deviations above
+the number of differing bits that the similarity leads to. Such a radius leaves no
+block equal for sure, so shards are drawn bits: as many bits as keep a shard small
+and as many draws as make a pair at the similarity meet with probability MEET;
+closer pairs meet sooner. A shard hands on two candidates a member at most, its
+nearest code and the smallest of its component there, and each candidate counts
+only if the shingles of both texts are as similar as asked for.
 
 Defined results: null or empty texts have fingerprint zero and link like others;
 texts of fewer words than a shingle are one shingle; rows that repeat a doc_id
@@ -127,46 +130,62 @@ class BkTree:
             into.append((pivot, children))
         return top[0]
 
-    def near(self, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of indices within the radius: every code follows the edges whose
-        distance differs from its own by at most the radius."""
+    def near(self, radius: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """An index, those within the radius of it, and their distances: every code
+        follows the edges whose distance differs from its own by at most the radius."""
         todo = [(self.root, np.arange(len(self.codes)))]
         while todo:
             (what, children), asking = todo.pop()
             if children is None:
-                for i in what:
-                    hit = asking[distances(self.codes[asking], self.codes[i]) <= radius]
-                    yield np.full(len(hit), i), hit
+                for i in what.tolist():
+                    far = distances(self.codes[asking], self.codes[i])
+                    yield i, asking[far <= radius], far[far <= radius]
                 continue
             far = distances(self.codes[asking], self.codes[what])
-            hit = asking[far <= radius]
-            yield np.full(len(hit), what), hit
+            yield int(what), asking[far <= radius], far[far <= radius]
             for d, child in children:
                 on = asking[np.abs(far - d) <= radius]
                 if len(on):
                     todo.append((child[0], on))
 
 
-def spanning(codes: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """(member, root) for every code (a row of words) that is not the root of its component."""
-    parent = np.arange(len(codes))
+class Links:
+    """Components of codes (rows of words) within a radius, and each one's nearest."""
 
-    def roots(of: np.ndarray) -> np.ndarray:
-        of = parent[of]
+    def __init__(self, codes: np.ndarray, radius: int):
+        n = len(codes)
+        self.parent, self.nearest = np.arange(n), np.full(n, -1)
+        best = np.full(n, radius + 1)
+        for i, hit, far in BkTree(codes).near(radius):
+            other = hit != i
+            hit, far = hit[other], far[other]
+            if not len(hit):
+                continue
+            both = np.unique(self.roots(np.append(hit, i)))
+            self.parent[both] = both[0]
+            self.parent[hit] = both[0]
+            closer = (far < best[hit]) | ((far == best[hit]) & (i < self.nearest[hit]))
+            best[hit[closer]], self.nearest[hit[closer]] = far[closer], i
+
+    def roots(self, of: np.ndarray) -> np.ndarray:
+        of = self.parent[of]
         while True:
-            up = parent[of]
+            up = self.parent[of]
             if np.array_equal(up, of):
                 return of
             of = up
 
-    for a, b in BkTree(codes).near(radius):
-        if len(b) > 1 or len(b) and a[0] != b[0]:
-            both = np.unique(roots(np.append(b, a[0])))
-            parent[both] = both[0]
-            parent[b] = both[0]
-    top = roots(np.arange(len(codes)))
-    rest = np.flatnonzero(top != np.arange(len(codes)))
-    return rest, top[rest]
+    def spanning(self) -> tuple[np.ndarray, np.ndarray]:
+        """(member, root) for every code that is not the root of its component."""
+        top = self.roots(np.arange(len(self.parent)))
+        rest = np.flatnonzero(top != np.arange(len(top)))
+        return rest, top[rest]
+
+    def candidates(self) -> tuple[np.ndarray, np.ndarray]:
+        """Those and (member, nearest)."""
+        low, high = self.spanning()
+        near = np.flatnonzero(self.nearest >= 0)
+        return np.append(low, near), np.append(high, self.nearest[near])
 
 
 def link(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -177,7 +196,7 @@ def link(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
 
     def run(key: tuple, found: pa.Table) -> pa.Table:
         codes = np.unique(found.column("fp").to_numpy().view(np.uint64))
-        low, high = spanning(codes[:, None], radius)
+        low, high = Links(codes[:, None], radius).spanning()
         return pa.table([pa.array(codes[low].view(np.int64)), pa.array(codes[high].view(np.int64))], ["u", "v"])
 
     dealt = nodes.select("fp", F.explode(F.array(*shards)).alias("shard"))
@@ -215,7 +234,7 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
     the smallest of all it is linked with (keys as in fingerprints(), never null)."""
     small_batches(docs.sparkSession)
     share, width = expected_share(similarity), 64 * WIDE
-    radius = int(width * share + 0.75 * math.sqrt(width * share * (1 - share)))
+    radius = int(width * share + 2 * math.sqrt(width * share * (1 - share)))
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
@@ -245,16 +264,39 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             if b - a > 1:
                 of = order[a:b]
-                i, j = spanning(codes[of], radius)
+                i, j = Links(codes[of], radius).candidates()
                 low.append(least[of[i]])
                 high.append(least[of[j]])
         return pa.table([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in (low, high)], ["u", "v"])
 
     spread = nodes.mapInArrow(dealt, "drawn long, least long, fp binary").withColumn("shard", F.pmod(F.xxhash64("drawn"), F.lit(shards)))
-    up = components(spread.groupBy("shard").applyInArrow(linked, "u long, v long"))
+    pairs = spread.groupBy("shard").applyInArrow(linked, "u long, v long").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    up = components(alike(docs, written(pairs, "pairs"), words, similarity))
     return nodes.select("least").join(up, nodes["least"] == up["u"], "left").select("least", F.coalesce("v", "least").alias("component_id"))
 
 
+def jaccard(a: bytes, b: bytes, words: int) -> float:
+    """Of the distinct shingles; two texts without words are equal."""
+    x, y = (set(shingle_hashes(t, words).tolist()) for t in (a, b))
+    return len(x & y) / len(x | y) if x or y else 1.0
+
+
+def alike(docs: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs u, v of doc_ids whose texts have at least this Jaccard similarity.
+    Only texts that some pair names are moved, once, and then joined to the pairs."""
+    named = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
+    own = keyed(docs)
+    texts = written(own.join(named, own["doc_id"] == named["id"], "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "named")
+    left, right = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("a")), texts.select(F.col("doc_id").alias("v"), F.col("text").alias("b"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "a"):
+            kept = [jaccard(x.encode(), y.encode(), words) >= similarity for x, y in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)]
+            yield batch.filter(pa.array(kept, pa.bool_())).select(["u", "v"])
+
+    return pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
+
+
 def dedup(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """The documents with the smallest doc_id of each group, unchanged."""
     keep = similar_groups(docs, words, similarity).where("least = component_id").select(F.col("least").alias("__keep"))

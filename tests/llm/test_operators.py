@@ -290,7 +290,7 @@ def test_op8_trees_lose_no_link():
     base = g.integers(0, 1 << 63, 150, np.uint64)
     near = base ^ (np.uint64(1) << g.integers(0, 63, 150).astype(np.uint64))
     codes = np.unique(np.concatenate([base, near, near ^ np.uint64(6)]))
-    low, high = bksimhash.spanning(codes[:, None], 3)
+    low, high = bksimhash.Links(codes[:, None], 3).spanning()
     root = dict(zip(low.tolist(), high.tolist(), strict=True))
     for i in range(len(codes)):
         for j in np.flatnonzero(np.bitwise_count(codes ^ codes[i]) <= 3).tolist():
@@ -310,6 +310,17 @@ def test_op8_similar_texts_leave_one(spark):
     assert kept == set(range(30)) | {200 + i for i in range(30)} | {300, 302}
 
 
+def test_op8_nearest_codes():
+    codes = np.asarray([[0], [1], [3], [15 << 40]], np.uint64)
+    links = bksimhash.Links(codes, 3)
+    assert links.nearest.tolist() == [1, 0, 1, -1] and links.roots(np.arange(4)).tolist() == [0, 0, 0, 3]
+
+
+def test_op8_jaccard():
+    assert bksimhash.jaccard(b"a b c", b"A  b\nc", 5) == 1.0 and bksimhash.jaccard(b"", b" ", 5) == 1.0
+    assert bksimhash.jaccard(b"a b c d e f", b"a b c d e g", 5) == 1 / 3
+
+
 def test_op8_wide_bits_follow_similarity():
     assert bksimhash.expected_share(1.0) == 0 and 0.14 < bksimhash.expected_share(0.8) < 0.16
     bits, times = bksimhash.draws(236_000, bksimhash.expected_share(0.8))
