@@ -172,7 +172,15 @@ def video_windows_hopping(spark, sf):
     return intervals.video_windows(bound(spark, sf, _VIDEOS))
 
 
-@query()
+@query("""WITH+ RECURSIVE , w AS (SELECT video_id, CAST(i AS INTEGER) AS idx FROM (SELECT *, unnest(range(0, CAST(greatest(1, ceil(video_duration / 600)) AS BIGINT))) AS i FROM v)
+        WHERE (video_duration <= 600 AND i = 0) OR (video_duration > 600 AND video_duration - i * 600 >= 60)),
+    n AS (SELECT video_id, count(*) AS n FROM w GROUP BY 1),
+    st AS (
+        SELECT n, CASE WHEN n <= 2 THEN range(0, n) ELSE [0, CAST(round_even((n - 1) / 2, 0) AS BIGINT), n - 1] END AS chosen FROM (SELECT DISTINCT n FROM n)
+        UNION ALL
+        SELECT n, list_append(chosen, -(list_max(list_transform(range(0, n), lambda i: {'d': list_min(list_transform(chosen, lambda c: abs(c - i))), 'i': -i})).i)) FROM st WHERE len(chosen) < n),
+    o AS (SELECT n, chosen FROM st WHERE len(chosen) = n)
+    SELECT video_id, CAST(chosen[k] AS INTEGER) AS idx, CAST(k - 1 AS INTEGER) AS visit FROM (SELECT video_id, chosen, unnest(range(1, n + 1)) AS k FROM n JOIN o USING (n))""", v=_VIDEOS)
 def stratified_window_order(spark, sf):
     return intervals.stratified(intervals.video_windows(bound(spark, sf, _VIDEOS))).select("video_id", "idx", "visit")
 
@@ -555,7 +563,17 @@ def trials_nontarget_hash(spark, sf):
     return trials.hash_non_targets(bound(spark, sf, _ONE), "2026", 300)
 
 
-@query()
+_DRAW = "('0x' || substr(md5('2026-test-A|{}|' || draw), 1, 8))::BIGINT % {}"
+
+
+@query(f"""WITH+ , nb AS (SELECT *, row_number() OVER (PARTITION BY gender ORDER BY speaker_id) - 1 AS k FROM (SELECT DISTINCT speaker_id, gender FROM c)),
+    sz AS (SELECT gender, count(*) AS n FROM nb GROUP BY 1 HAVING count(*) > 1), rg AS (SELECT *, sum(n) OVER (ORDER BY gender) AS upto, sum(n) OVER () AS total FROM sz),
+    a AS (SELECT draw, gender, n, u - (upto - n) AS k1 FROM (SELECT *, {_DRAW.format("a", "total")} AS u FROM (SELECT unnest(range(0, 3100)) AS draw), rg) WHERE u < upto AND u >= upto - n),
+    b AS (SELECT *, (k1 + 1 + {_DRAW.format("b", "(n - 1)")}) % n AS k2 FROM a),
+    l AS (SELECT *, row_number() OVER (PARTITION BY speaker_id ORDER BY path) - 1 AS i, count(*) OVER (PARTITION BY speaker_id) AS m FROM c),
+    p AS (SELECT draw, b.gender, least(x.path, y.path) AS path1, greatest(x.path, y.path) AS path2 FROM b JOIN nb s ON s.gender = b.gender AND s.k = k1 JOIN nb t ON t.gender = b.gender AND t.k = k2
+        JOIN l x ON x.speaker_id = s.speaker_id AND x.i = {_DRAW.format("c1", "x.m")} JOIN l y ON y.speaker_id = t.speaker_id AND y.i = {_DRAW.format("c2", "y.m")} WHERE x.video_id <> y.video_id)
+    SELECT path1, path2, min(draw) AS draw, any_value(gender) AS gender FROM p GROUP BY 1, 2 ORDER BY draw LIMIT 2000""", c=CLIPS)
 def trials_nontarget_draws(spark, sf):
     return trials.non_targets(bound(spark, sf, CLIPS), "2026-test-A", 2000)
 
