@@ -56,30 +56,41 @@ def pairs(*columns: tuple[np.ndarray, ...]) -> list[np.ndarray]:
     return out
 
 
+def by_symbol(symbols: np.ndarray) -> np.ndarray:
+    """A stable order; small symbols are sorted by radix."""
+    if len(symbols) and symbols.max() < 1 << 16:
+        return np.argsort(symbols.astype(np.uint16), kind="stable")
+    return np.argsort(symbols.astype(np.int64) * len(symbols) + np.arange(len(symbols)))
+
+
 def suffix_array(s: np.ndarray) -> np.ndarray:
     """Starts of the suffixes of s, in order. Values are 1 or more."""
     n = len(s)
     if n < 8:
         return np.asarray(sorted(range(n), key=lambda i: s[i:].tolist()), np.int64)
-    t = np.concatenate([s.astype(np.int64), np.zeros(3, np.int64)])
+    t = np.zeros(n + 3, np.int64)
+    t[:n] = s
     ones = np.arange(1, n + (n % 3 == 1), 3)
     twos = np.arange(2, n, 3)
     sample = np.concatenate([ones, twos])
-    (triple,) = pairs((t[sample], t[sample + 1], t[sample + 2]))
-    order = np.argsort(triple, kind="stable")
+    after = t[sample + 1], t[sample + 2]
+    (triple,) = pairs((t[sample], *after))
+    order = np.argsort(triple)
     fresh = np.append(True, np.diff(triple[order]) != 0)
     if not fresh.all():
         names = np.empty(len(sample), np.int64)
         names[order] = np.cumsum(fresh)
         order = suffix_array(names)
+    first_kind = order < len(ones)
     sampled = sample[order]
     rank = np.zeros(n + 4, np.int64)
     rank[sampled] = np.arange(1, len(sampled) + 1)
-    after = sampled[sampled % 3 == 1] - 1  # the others, by the rank of what follows
-    rest = after[np.argsort(t[after], kind="stable")]
-    first, second = sampled[sampled % 3 == 1], sampled[sampled % 3 == 2]
-    a1, b1 = pairs((t[rest], rank[rest + 1]), (t[first], rank[first + 1]))
-    a2, b2 = pairs((t[rest], t[rest + 1], rank[rest + 2]), (t[second], t[second + 1], rank[second + 2]))
+    first, second = sampled[first_kind], sampled[~first_kind]
+    rest = first - 1  # the others, by the rank of what follows
+    rest = rest[by_symbol(t[rest])]
+    symbol, following = t[rest], t[rest + 1]
+    a1, b1 = pairs((symbol, rank[rest + 1]), (t[first], rank[first + 1]))
+    a2, b2 = pairs((symbol, following, rank[rest + 2]), (t[second], t[second + 1], rank[second + 2]))
     at = np.arange(len(rest)) + np.searchsorted(b1, a1) + np.searchsorted(b2, a2)
     out = np.empty(len(rest) + len(sampled), np.int64)
     taken = np.zeros(len(out), bool)
