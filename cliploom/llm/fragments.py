@@ -7,6 +7,12 @@ of its minimiser. Equal windows have equal minimisers, so they meet in one bucke
 whatever the documents around them, and a minimiser that only one fragment holds
 proves all its windows unique.
 
+Hot minimisers: a passage in very many documents, in different surroundings, would
+fill one bucket with fragments that differ at their ends. A sample of the texts
+finds such minimisers beforehand; their windows travel one by one instead, as a
+128-bit digest dealt by its own value, so that only equal windows meet and equal
+ones are folded before. The sample decides the route alone, never a result.
+
 Pre-aggregation: of equal fragments in one chunk only the first goes on; the
 others are known to repeat. Fragments of a chunk are packed per bucket and
 compressed. Buckets are numbered by the total size of the input, so that one
@@ -26,6 +32,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +41,9 @@ from .common import chunks, small_batches, texts_of
 
 #: Packed fragments per bucket, before compression.
 BUCKET_BYTES = 4 << 20
+#: Most bytes, and share, of texts in the sample; different fragments of a minimiser
+#: there that make it hot; most minimisers that are told to all tasks (8 bytes each).
+SAMPLE_BYTES, SAMPLE_SHARE, HOT_FRAGMENTS, MOST_HOT = 8 << 30, 1 / 16, 64, 1 << 20
 NO_ID = -(1 << 63)
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 BLOCK = "bucket int, doc_id long, first long, last long, packed binary"
@@ -84,8 +94,8 @@ class Texts:
 
 
 def fragments_of(texts: Texts, k: int, m: int):
-    """(document number, first window, windows, minimiser, byte from, byte to) of
-    each fragment, in document order."""
+    """(document number, first window in the chunk, in the document, windows,
+    minimiser, byte from, byte to) of each fragment, in document order."""
     n = int(texts.lengths.sum())
     if n < k or len(texts.grams) < k - m + 1:
         return None
@@ -108,13 +118,39 @@ def fragments_of(texts: Texts, k: int, m: int):
     at = first - (doc_end - texts.lengths)[doc]
     low = texts.starts[first] if texts.starts is not None else first
     high = texts.ends[upto - 1] if texts.ends is not None else upto
-    return doc, at, sizes, least[first] >> np.uint64(24), low, high
+    return doc, first, at, sizes, least[first] >> np.uint64(24), low, high
+
+
+def total_bytes(docs: DataFrame) -> int:
+    return docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
+
+
+def hot_minimisers(docs: DataFrame, total: int, k: int, m: int, read: Callable[[list[bytes]], Texts]) -> np.ndarray:
+    """Minimisers with many different fragments in a sample of the documents."""
+    share = min(SAMPLE_SHARE, SAMPLE_BYTES / max(1, total))
+    sample = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(77)), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            texts = read([t.encode() for t in batch.column("text").to_pylist()])
+            if (found := fragments_of(texts, k, m)) is None:
+                continue
+            _, _, _, _, least, low, high = found
+            distinct = {texts.raw[a:b]: v for a, b, v in zip(low.tolist(), high.tolist(), least.tolist(), strict=True)}
+            values, n = np.unique(np.asarray(list(distinct.values()), np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(n.astype(np.int64))], ["least", "n"])
+
+    found = sample.mapInArrow(count, "least long, n long").groupBy("least").agg(F.sum("n").alias("n")).where(F.col("n") >= HOT_FRAGMENTS)
+    rows = found.orderBy(F.desc("n"), "least").limit(MOST_HOT).collect()
+    return np.sort(np.asarray([r["least"] for r in rows], np.int64)).astype(np.uint64)
 
 
-def bucket_count(docs: DataFrame, growth: float) -> int:
-    """From the bytes of all texts and what fragments add to them."""
-    total = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    return max(8, int(total * growth / BUCKET_BYTES))
+def digests(texts: Texts, first: np.ndarray, sizes: np.ndarray, k: int) -> tuple[np.ndarray, list[bytes]]:
+    """Windows of fragments (their first symbols) and a digest of the text of each."""
+    windows = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
+    low = texts.starts[windows] if texts.starts is not None else windows
+    high = texts.ends[windows + k - 1] if texts.ends is not None else windows + k
+    return windows, [xxhash.xxh3_128_digest(texts.raw[a:b]) for a, b in zip(low.tolist(), high.tolist(), strict=True)]
 
 
 def repeated_windows(docs: DataFrame, k: int, m: int, read: Callable[[list[bytes]], Texts], compare: Callable) -> DataFrame:
@@ -122,7 +158,9 @@ def repeated_windows(docs: DataFrame, k: int, m: int, read: Callable[[list[bytes
     included). `docs`: doc_id (never null) and text. `compare` gets a bucket's
     distinct fragments that share a minimiser with another."""
     small_batches(docs.sparkSession)
-    buckets = bucket_count(docs, 1 + 2 * (k - 1) / (k - m + 2))
+    total = total_bytes(docs)
+    buckets = max(8, int(total * (1 + 2 * (k - 1) / (k - m + 2)) / BUCKET_BYTES))
+    hot = hot_minimisers(docs, total, k, m, read)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = zstandard.ZstdCompressor(level=5)
@@ -132,37 +170,35 @@ def repeated_windows(docs: DataFrame, k: int, m: int, read: Callable[[list[bytes
             texts = read([t.encode() for t in batch.column("text").to_pylist()])
             if (found := fragments_of(texts, k, m)) is None:
                 continue
-            doc, at, sizes, least, low, high = found
+            doc, first, at, sizes, least, low, high = found
+            alone = np.isin(least, hot)
+            spread, lone_runs = _windows_alone(texts, ids, doc[alone], first[alone], at[alone], sizes[alone], k, buckets, coder)
+            doc, at, sizes, least, low, high = (x[~alone] for x in (doc, at, sizes, least, low, high))
             raw, seen, mine, again = texts.raw, {}, [], []
             for i, (a, b) in enumerate(zip(low.tolist(), high.tolist(), strict=True)):
-                text = raw[a:b]
-                j = seen.setdefault(text, i)
+                j = seen.setdefault(raw[a:b], i)
                 (mine if i == j else again).append(i)
-            mine = np.asarray(mine, np.int64)
+            mine, again = np.asarray(mine, np.int64), np.asarray(again, np.int64)
             bucket = ((least * MIX[0]) >> np.uint64(32)).astype(np.int64) % buckets
             order = mine[np.argsort(bucket[mine], kind="stable")]
             parts = list(seen)
             number = np.empty(len(doc), np.int64)
             number[mine] = np.arange(len(mine))
-            edges = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0))
             packs = []
-            for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(order)], strict=True):
+            for a, b in _stretches(bucket[order]):
                 of = order[a:b]
                 columns = (np.diff(ids[doc[of]], prepend=0), at[of], sizes[of], (high - low)[of], least[of])
                 head = [to_planes(x.astype(kind), width) for x, (kind, width) in zip(columns, COLUMNS, strict=True)]
-                packs.append(coder.compress(b"".join([np.int64(b - a).tobytes(), *head, *[parts[i] for i in number[of].tolist()]])))
-            again = np.asarray(again, np.int64)
+                packs.append((bucket[of[0]], coder.compress(b"".join([np.int64(b - a).tobytes(), *head, *[parts[i] for i in number[of].tolist()]]))))
             again = again[~_same(ids, doc, at, low, high, raw, seen, again)]
-            runs = _runs(ids[doc[again]], at[again], at[again] + sizes[again] - 1)
-            none = len(packs)
-            salt = zlib.crc32(ids.tobytes()) % buckets
+            runs = _runs(*(np.append(x, y) for x, y in zip((ids[doc[again]], at[again], at[again] + sizes[again] - 1), lone_runs, strict=True)))
+            packs += spread
+            none, salt = [None] * len(packs), zlib.crc32(ids.tobytes()) % buckets
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate([bucket[order[edges]], (np.arange(len(runs[0])) + salt) % buckets]).astype(np.int32)),
-                    pa.array([None] * none + runs[0].tolist(), pa.int64()),
-                    pa.array([None] * none + runs[1].tolist(), pa.int64()),
-                    pa.array([None] * none + runs[2].tolist(), pa.int64()),
-                    pa.array(packs + [None] * len(runs[0]), pa.binary()),
+                    pa.array([b for b, _ in packs] + ((np.arange(len(runs[0])) + salt) % buckets).tolist(), pa.int32()),
+                    *(pa.array(none + x.tolist(), pa.int64()) for x in runs),
+                    pa.array([p for _, p in packs] + [None] * len(runs[0]), pa.binary()),
                 ],
                 ["bucket", "doc_id", "first", "last", "packed"],
             )
@@ -176,6 +212,59 @@ def repeated_windows(docs: DataFrame, k: int, m: int, read: Callable[[list[bytes
     return docs.mapInArrow(cut, BLOCK).groupBy("bucket").applyInArrow(meet, "doc_id long, first long, last long")
 
 
+def _stretches(x: np.ndarray) -> list[tuple[int, int]]:
+    """[from, to) of each stretch of equal values."""
+    if not len(x):
+        return []
+    edges = np.flatnonzero(np.append(True, np.diff(x) != 0))
+    return list(zip(edges.tolist(), [*edges[1:].tolist(), len(x)], strict=True))
+
+
+def _windows_alone(texts: Texts, ids, doc, first, at, sizes, k: int, buckets: int, coder):
+    """Packs of single windows (bucket, bytes), and those that a window of the chunk
+    already stands for (doc_id, window, window). A pack of windows starts with minus
+    their number."""
+    windows, found = digests(texts, first, sizes, k)
+    if not len(windows):
+        return [], (np.zeros(0, np.int64),) * 3
+    owner = ids[np.repeat(doc, sizes)]
+    place = windows - np.repeat(first - at, sizes)
+    keys = np.frombuffer(b"".join(found), "<u8").reshape(-1, 2)
+    order = np.lexsort((place, owner, keys[:, 1], keys[:, 0]))
+    keys, owner, place = keys[order], owner[order], place[order]
+    head = np.append(True, (keys[1:] != keys[:-1]).any(axis=1))
+    of = np.cumsum(head) - 1
+    later = (owner != owner[head][of]) | (place != place[head][of])
+    lone = owner[later], place[later], place[later]
+    keys, owner, place = keys[head], owner[head], place[head]
+    bucket = (keys[:, 0] >> np.uint64(16)).astype(np.int64) % buckets
+    order = np.argsort(bucket, kind="stable")
+    packs = []
+    for a, b in _stretches(bucket[order]):
+        of = order[a:b]
+        packs.append((int(bucket[of[0]]), coder.compress(b"".join([np.int64(a - b).tobytes(), keys[of].tobytes(), to_planes(owner[of].astype(np.int64)), to_planes(place[of].astype(np.int64))]))))
+    return packs, lone
+
+
+def _settle_alone(packs: list[bytes]) -> np.ndarray:
+    """Single windows that repeat an earlier one: rows of doc_id, window, window."""
+    keys, owner, place = [], [], []
+    for raw in packs:
+        n = -int(np.frombuffer(raw, np.int64, 1)[0])
+        keys.append(np.frombuffer(raw, "<u8", 2 * n, 8).reshape(-1, 2))
+        owner.append(from_planes(raw, 8 + 16 * n, n, np.int64, 8))
+        place.append(from_planes(raw, 8 + 24 * n, n, np.int64, 8))
+    if not packs:
+        return np.zeros((0, 3), np.int64)
+    keys, owner, place = np.concatenate(keys), np.concatenate(owner), np.concatenate(place)
+    order = np.lexsort((place, owner, keys[:, 1], keys[:, 0]))
+    keys, owner, place = keys[order], owner[order], place[order]
+    head = np.append(True, (keys[1:] != keys[:-1]).any(axis=1))
+    of = np.cumsum(head) - 1
+    later = (owner != owner[head][of]) | (place != place[head][of])
+    return np.stack([owner[later], place[later], place[later]], axis=1)
+
+
 def _same(ids, doc, at, low, high, raw, seen, again) -> np.ndarray:
     """Whether the first of its equals is the very same (doc_id, start), as happens
     where a row is repeated."""
@@ -198,9 +287,12 @@ def _runs(doc: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndar
 def settle(packs: list[bytes], compare: Callable) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of a bucket's windows that repeat an earlier one."""
     decoder = zstandard.ZstdDecompressor()
-    heads, bodies, offset, offsets = [], [], 0, []
+    heads, bodies, offset, offsets, single = [], [], 0, [], []
     for pack in packs:
         raw = decoder.decompress(pack)
+        if np.frombuffer(raw, np.int64, 1)[0] < 0:
+            single.append(raw)
+            continue
         n = int(np.frombuffer(raw, np.int64, 1)[0])
         at, columns = 8, []
         for kind, width in COLUMNS:
@@ -211,8 +303,9 @@ def settle(packs: list[bytes], compare: Callable) -> tuple[np.ndarray, np.ndarra
         bodies.append(raw[at:])
         offsets.append(offset + np.concatenate([[0], np.cumsum(columns[3], dtype=np.int64)[:-1]]))
         offset += len(raw) - at
+    lone = _settle_alone(single)
     if not heads:
-        return _runs(*(np.zeros(0, np.int64),) * 3)
+        return _runs(*lone.T)
     doc, at, sizes, lengths, least = (np.concatenate([h[i] for h in heads]) for i in range(5))
     at = at.astype(np.int64)
     low, body = np.concatenate(offsets), b"".join(bodies)
@@ -231,14 +324,14 @@ def settle(packs: list[bytes], compare: Callable) -> tuple[np.ndarray, np.ndarra
     kept = np.asarray(kept, np.int64)
     if len(kept) > 1:
         edge = np.append(True, np.diff(least[kept].astype(np.int64)) != 0)
-        single = edge & np.append(edge[1:], True)
-        group = np.cumsum(edge)[~single]
+        partner = ~(edge & np.append(edge[1:], True))
+        group = np.cumsum(edge)[partner]
         parts = list(texts)
-        use = np.flatnonzero(~single)
+        use = np.flatnonzero(partner)
         if len(use):
             found = compare([parts[i] for i in use.tolist()], doc[kept[use]], at[kept[use]], sizes[kept[use]], group)
             marks += list(zip(*(x.tolist() for x in found), strict=True))
-    cols = np.asarray(marks, np.int64).reshape(-1, 3)
+    cols = np.concatenate([np.asarray(marks, np.int64).reshape(-1, 3), lone])
     return _runs(cols[:, 0], cols[:, 1], cols[:, 2])
 
 
@@ -249,8 +342,7 @@ FINISH_BYTES = 16 << 20
 def finish(docs: DataFrame, runs: DataFrame, one: Callable[[bytes, list[tuple[int, int]]], tuple], k: int, schema: list[tuple[str, pa.DataType, str]]) -> DataFrame:
     """key and one(text, stretches of symbols that repeated windows cover) for every
     document. Texts travel packed and compressed, a block for each group of ids."""
-    total = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    groups = max(8, total // FINISH_BYTES)
+    groups = max(8, total_bytes(docs) // FINISH_BYTES)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = zstandard.ZstdCompressor(level=3)

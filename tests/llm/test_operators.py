@@ -136,6 +136,19 @@ def test_repeated_rows_and_null_ids_keep_their_text(spark):
     assert {r["n_removed"] for r in superkmer.kept_words(alone).collect()} == {0}
 
 
+@pytest.mark.parametrize("operator", [superkmer.kept_words, dcsuffix.kept_bytes])
+def test_hot_minimisers_change_no_result(docs, operator, monkeypatch):
+    plain = {r["doc_id"]: tuple(r) for r in operator(docs).collect()}
+    monkeypatch.setattr(fragments, "SAMPLE_SHARE", 1.0)
+    monkeypatch.setattr(fragments, "HOT_FRAGMENTS", 2)
+    k, m, read = (20, 3, superkmer.read_words) if operator is superkmer.kept_words else (100, 16, dcsuffix.read_bytes)
+    own = fragments.keyed(docs)
+    assert len(fragments.hot_minimisers(own, fragments.total_bytes(own), k, m, read)) > 5
+    assert {r["doc_id"]: tuple(r) for r in operator(docs).collect()} == plain
+    monkeypatch.setattr(fragments, "HOT_FRAGMENTS", 1)  # every window alone
+    assert {r["doc_id"]: tuple(r) for r in operator(docs).collect()} == plain
+
+
 def test_suffix_array():
     for _ in range(200):
         s = [rng.randint(1, 3) for _ in range(rng.randint(0, 70))]
