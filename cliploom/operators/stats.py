@@ -62,8 +62,8 @@ def video_distribution(df: DataFrame) -> DataFrame:
     return per.groupBy("speaker_id").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws("=", "video_id", F.col("n").cast("string")))), ", ").alias("distribution"))
 
 
-def speaker_metadata(df: DataFrame) -> DataFrame:
-    return df.groupBy("speaker_id").agg(F.first("gender").alias("Gender"), F.first("set").alias("Set"), F.first("speaker_name").alias("Name"), F.count("*").alias("Num utterances"), F.countDistinct("video_id").alias("Num videos"), F.sum("duration").alias("Total duration")).withColumnRenamed("speaker_id", "VoxCeleb ID")
+def speaker_metadata(df: DataFrame, id_name: str = "Speaker ID") -> DataFrame:
+    return df.groupBy("speaker_id").agg(F.first("gender").alias("Gender"), F.first("set").alias("Set"), F.first("speaker_name").alias("Name"), F.count("*").alias("Num utterances"), F.countDistinct("video_id").alias("Num videos"), F.sum("duration").alias("Total duration")).withColumnRenamed("speaker_id", id_name)
 
 
 def expectations(df: DataFrame, version: str, longest: float, bucket: float = 10.0, most_iou: float = 0.05) -> DataFrame:

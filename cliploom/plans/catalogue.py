@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import Settings
 from ..functions import arrays
-from ..functions.columns import canonical_path, number, spaced
+from ..functions.columns import bbox_iou, canonical_path, crop_box, number, spaced
 from ..operators import candidates, gates, intervals, manifest, metrics, proposals, rejections, review, selection, stats, store, sync, tracking, trials, vectors
 from .bindings import CANDIDATES, CLIPS, SEGMENTS, bound, duck
 
@@ -752,3 +752,69 @@ def speech_proposals(spark, sf):
     rows = bound(spark, sf, _WIN)
     rows = rows.select("track_id", *(F.col(c).cast("double").alias(c) for c in ("start", "end", "confidence", "audio", "visual")))
     return rounded(proposals.propose(rows, S).select("track_id", "start", "end", "confidence"), "confidence")
+
+
+_UTT = "SELECT CAST(l_suppkey AS STRING) AS speaker_id, concat(l_returnflag, l_linestatus) AS video_id, concat('n', CAST(l_suppkey AS STRING)) AS speaker_name, CASE WHEN l_suppkey % 2 = 0 THEN 'f' ELSE 'm' END AS gender, 'dev' AS `set`, l_quantity AS duration, concat('wav/', CAST(l_suppkey AS STRING), '/', l_returnflag, l_linestatus, '/', CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING), '-', CAST(l_partkey AS STRING), '.wav') AS export_path, l_orderkey AS k FROM {lineitem}"
+
+
+@query("""WITH+ SELECT speaker_id AS "Speaker ID", any_value(gender) AS "Gender", any_value("set") AS "Set", any_value(speaker_name) AS "Name", count(*) AS "Num utterances", count(DISTINCT video_id) AS "Num videos", round(sum(duration), 3) AS "Total duration" FROM u GROUP BY 1""", u=_UTT)
+def speaker_metadata(spark, sf):
+    return rounded(stats.speaker_metadata(bound(spark, sf, _UTT)), "Total duration", places=3)
+
+
+@query("WITH+ SELECT speaker_id || ' ' || export_path AS value FROM u", u=_UTT)
+def train_list(spark, sf):
+    return candidates.train_list(bound(spark, sf, _UTT))
+
+
+@query("WITH+ SELECT DISTINCT export_path AS path FROM u WHERE k % 5 = 0 AND speaker_id IN (SELECT speaker_id FROM u WHERE k % 5 <> 0) AND export_path NOT IN (SELECT export_path FROM u WHERE k % 5 <> 0)", u=_UTT)
+def stale_exports(spark, sf):
+    rows = bound(spark, sf, _UTT)
+    kept = rows.where("k % 5 <> 0").withColumn("candidate_path", F.col("export_path"))
+    return candidates.copy_plan(kept, rows.select(F.col("export_path").alias("path")).distinct())[1]
+
+
+@query("WITH+ SELECT row_ord FROM c WHERE CAST(speaker_id AS INTEGER) % 4 <> 0 AND coalesce(pipeline_version, 'legacy') = '1' AND syncnet_verified >= 1", c=CANDIDATES)
+def reprocess_filter(spark, sf):
+    forced = read(spark, sf, "supplier").where("s_suppkey % 4 = 0").select(F.col("s_suppkey").cast("string").alias("speaker_id"))
+    return gates.reprocess_filter(bound(spark, sf, CANDIDATES), forced, S).select("row_ord")
+
+
+@query("""SELECT CAST(c AS VARCHAR) AS speaker_id, c IN (SELECT s_suppkey FROM supplier) AS known FROM (SELECT DISTINCT o_custkey AS c FROM orders)""")
+def speaker_subset(spark, sf):
+    wanted = read(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("speaker_id")).distinct()
+    found, unknown = manifest.subset(read(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("speaker_id")), wanted)
+    return found.select("speaker_id", F.lit(True).alias("known")).union(unknown.select("speaker_id", F.lit(False)))
+
+
+@query("""WITH+ , p AS (SELECT speaker_id, count(*) FILTER (WHERE file_exists) AS n_clips, count(DISTINCT video_id) FILTER (WHERE file_exists) AS n_videos, count(*) FILTER (WHERE NOT file_exists) AS n_missing FROM c GROUP BY 1)
+    SELECT speaker_id, n_clips FROM p WHERE n_clips <> 545 OR n_videos < 6 OR n_missing > 0""", c=CANDIDATES)
+def export_gate(spark, sf):
+    rows = bound(spark, sf, CANDIDATES)
+    return stats.export_gate(stats.coverage(rows.select("speaker_id").distinct(), rows), 545, 6).select("speaker_id", "n_clips")
+
+
+_BOX = "SELECT o_orderkey, CAST(o_orderkey % 90 AS DOUBLE) AS x, CAST(o_custkey % 70 AS DOUBLE) AS y, 20 + CAST(o_orderkey % 60 AS DOUBLE) AS w FROM {orders}"
+
+
+@query("""WITH+ SELECT o_orderkey, round(greatest(0, least(x + w, 100) - greatest(x, 40)) * greatest(0, least(y + w, 100) - greatest(y, 40)) / (w * w + 3600 - greatest(0, least(x + w, 100) - greatest(x, 40)) * greatest(0, least(y + w, 100) - greatest(y, 40)) + 1e-6::DOUBLE), 6) AS iou,
+    round(CASE WHEN least(200, x + w / 2 + w * 0.9::DOUBLE) - greatest(0, x + w / 2 - w * 0.9::DOUBLE) >= 32 AND least(150, y + w / 2 + w * 0.9::DOUBLE) - greatest(0, y + w / 2 - w * 0.9::DOUBLE) >= 32 THEN least(200, x + w / 2 + w * 0.9::DOUBLE) - greatest(0, x + w / 2 - w * 0.9::DOUBLE) ELSE -1 END, 6) AS crop_width FROM b""", b=_BOX)
+def box_geometry(spark, sf):
+    struct = lambda *v: F.struct(*(c.alias(n) for n, c in zip(("x1", "y1", "x2", "y2"), v, strict=True)))
+    box = struct(F.col("x"), F.col("y"), F.col("x") + F.col("w"), F.col("y") + F.col("w"))
+    crop = crop_box(box, 0.4, 200.0, 150.0)
+    width = F.coalesce(crop["x2"] - crop["x1"], F.lit(-1.0))
+    other = struct(*(F.lit(v) for v in (40.0, 40.0, 100.0, 100.0)))
+    return bound(spark, sf, _BOX).select("o_orderkey", F.round(bbox_iou(box, other), 6).alias("iou"), F.round(width, 6).alias("crop_width"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, round(greatest(0, least(1, (ln(1 + 1000 * l_discount) - ln(1 + 1000 * 0.003::DOUBLE)) / 3)), 6) AS audio,
+    round(CASE WHEN l_tax > 0 THEN sqrt(l_discount * l_tax) ELSE 0 END, 6) AS fused FROM lineitem""")
+def activity_scores(spark, sf):
+    return read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.round(gates.audio_score(F.col("l_discount"), F.lit(0.003)), 6).alias("audio"), F.round(gates.fused_confidence(F.col("l_discount"), F.col("l_tax")), 6).alias("fused"))
+
+
+@query("""WITH+ , i AS (SELECT track_id, start_time, end_time, unnest(range(0, CAST(floor(greatest(0, end_time - start_time - 1) / 0.5::DOUBLE + 1e-9::DOUBLE) AS BIGINT) + 1)) AS i FROM t)
+    SELECT track_id, round(start_time + i * 0.5::DOUBLE, 6) AS start, round(least(end_time, start_time + i * 0.5::DOUBLE + 1), 6) AS "end" FROM i""", t=_TRACKS)
+def sliding_score_windows(spark, sf):
+    return rounded(proposals.score_windows(bound(spark, sf, _TRACKS), 1.0, 0.5), "start", "end")
