@@ -18,6 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def decode_wav(raw: bytes) -> tuple[np.ndarray, int]:
@@ -145,7 +146,7 @@ def window_audio(windows: DataFrame, rate: int = 16000) -> DataFrame:
 def window_frames(windows: DataFrame, fps: float = 5.0, width: int = 640) -> DataFrame:
     """windows (path, start, duration) as one row a frame: frame, jpeg. A window
     without frames gives one row with its error."""
-    schema = windows.select("*", F.lit(0).alias("frame"), F.lit(b"").alias("jpeg"), F.lit("").alias("error")).schema
+    schema = T.StructType([*windows.schema.fields, *(T.StructField(n, t) for n, t in (("frame", T.IntegerType()), ("jpeg", T.BinaryType()), ("error", T.StringType())))])
     own = windows.columns
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -341,3 +341,88 @@ def test_command_line_end_to_end(spark, tmp_path):
     assert trials_.target_pairs(got.withColumn("path", F.col("export_path")), "A").count() > 0
     with pytest.raises(SystemExit):
         cli.main(["approve-auto", *base, "--speaker-id", "nobody"])
+
+
+def test_proposals_fall_back_and_become_clips(spark):
+    from cliploom.operators import proposals
+
+    rows = [("a", float(i) / 2, float(i) / 2 + 1, 0.5, 0.5, 0.5) for i in range(14)] + [("b", float(i) / 2, float(i) / 2 + 1, 0.1, 0.3, 0.05) for i in range(14)]
+    windows = spark.createDataFrame(rows, "track_id string, start double, end double, confidence double, audio double, visual double")
+    found = proposals.propose(windows, S)
+    assert [(r["track_id"], r["start"], r["end"]) for r in found.collect()] == [("a", 0.0, 7.5)]
+    extra = proposals.fallback(windows, found, S)
+    assert {r["track_id"] for r in extra.collect()} == {"b"}
+    clips = proposals.to_windows(found, S).orderBy("start").collect()
+    assert [(r["start"], r["end"]) for r in clips] == [(0.0, 3.0), (3.0, 6.0)]
+
+
+def test_recovery_only_where_no_target_was_found(spark):
+    box = lambda w: {"x1": 0.0, "y1": 0.0, "x2": w, "y2": w}
+    rows = [("w1", i, 0, box(90.0), [1.0, 0.0], 0.9) for i in range(3)] + [("w2", i, 0, box(60.0), [1.0, 0.0], 0.9) for i in range(3)]
+    faces = spark.createDataFrame(rows, "window_id string, frame int, face_ord int, bbox struct<x1:double,y1:double,x2:double,y2:double>, embedding array<double>, det_score double")
+    assert {r["window_id"] for r in tracking.track(faces, S).collect()} == {"w1"}
+    got = tracking.with_recovery(faces, S, lambda points: points.where("window_id = 'w1'")).groupBy("window_id").count().collect()
+    assert {r["window_id"]: r["count"] for r in got} == {"w1": 3, "w2": 3}
+
+
+def test_ambiguous_segments_go(spark):
+    segments = spark.createDataFrame([(1,), (2,)], "segment_id int")
+    rivals = spark.createDataFrame([(1, "t"), (2, "t")], "segment_id int, track_id string")
+    verified = spark.createDataFrame([(1, "t", True), (2, "t", False)], "segment_id int, track_id string, accepted boolean")
+    assert [r["segment_id"] for r in sync.unambiguous(segments, rivals, verified).collect()] == [2]
+
+
+def test_files_are_written_and_copied_whole(spark, tmp_path):
+    df = spark.createDataFrame([(f"{tmp_path}/a/x.bin", b"abc")], "path string, content binary")
+    assert media.write_files(df).first()["bytes"] == 3
+    plan = spark.createDataFrame([(f"{tmp_path}/a/x.bin", f"{tmp_path}/b/y.bin"), (f"{tmp_path}/none", f"{tmp_path}/b/z.bin")], "source string, target string")
+    out = {r["target"][-5:]: r["error"] is None for r in media.copy_files(plan).collect()}
+    assert out == {"y.bin": True, "z.bin": False} and (tmp_path / "b/y.bin").read_bytes() == b"abc" and not (tmp_path / "b/z.bin").exists()
+
+
+def test_media_without_tools_reports(spark):
+    df = spark.createDataFrame([("nothing.mp4", 0.0, 1.0)], "path string, start double, duration double")
+    assert media.durations(df).first()["video_duration"] == 0.0
+    assert media.window_audio(df).first()["error"] and media.window_frames(df).first()["error"]
+
+
+def test_models_run_behind_the_boundary(spark):
+    from cliploom.sources import models
+
+    frames = spark.createDataFrame([("w", 0, b"x"), ("w", 1, b"yy")], "window_id string, frame int, jpeg binary")
+    found = models.detect(frames, lambda: lambda images: [[(0, 0, 90, 90, [1.0, 0.0], 0.9)] * len(i) for i in images]).collect()
+    assert len(found) == 3 and found[0]["bbox"]["x2"] == 90
+    probes = spark.createDataFrame([("p", [0.0] * 4)], "probe_id string, clip array<double>")
+    assert models.sync_distances(probes, models.flat_sync).count() == 4
+    audio = spark.createDataFrame([([0.0, 1.0],)], "samples array<double>")
+    assert models.voice_mask(audio, lambda: lambda xs: [[v > 0.5 for v in x] for x in xs]).first()["mask"] == [False, True]
+
+
+def test_protocol_counts_and_refuses(spark):
+    rows = [(f"s{s}", f"v{s}{v}", f"s{s}/v{s}{v}/{i}.wav") for s in range(8) for v in range(2) for i in range(4)]
+    meta = spark.createDataFrame(rows, "speaker_id string, video_id string, path string")
+    splits = spark.createDataFrame([(f"s{s}", "fm"[s % 2], "validation" if s < 4 else "test") for s in range(8)], "speaker_id string, gender string, split string")
+    found = trials.protocol(meta, splits, 1, 20, 30)
+    assert set(found) == {(a, b) for a in ("validation", "test") for b in "AB"}
+    for df in found.values():
+        got = df.collect()
+        assert sum(r["label"] for r in got) == 20 and len(got) == 50 == len({(r["path1"], r["path2"]) for r in got})
+    assert trials.gender_subset(found["test", "A"], meta.join(splits, "speaker_id")).count() == 50
+    with pytest.raises(ValueError):
+        trials.protocol(meta, splits, 1, 10_000, 1)
+
+
+def test_streaming_store_and_ledger(spark, tmp_path):
+    from cliploom.streaming import live
+
+    rows = spark.createDataFrame([("s", "u1", 1, 1), ("s", "u1", 2, 1), ("t", "u2", 1, 1)], "speaker_id string, processing_unit_id string, candidate_idx int, row_ord int")
+    rows.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    for _ in range(2):  # the second run finds nothing new
+        live.keep_store(stream, str(tmp_path / "store"), str(tmp_path / "cp"), ["scope", "candidate_idx"]).awaitTermination(120)
+        assert spark.read.parquet(str(tmp_path / "store")).count() == 3
+    units = spark.createDataFrame([("s", "u1", "2024-01-01 00:00:00")] * 2, "speaker_id string, processing_unit_id string, t string").withColumn("processed_at", F.to_timestamp("t"))
+    units.write.parquet(str(tmp_path / "units"))
+    stream = spark.readStream.schema(units.schema).parquet(str(tmp_path / "units"))
+    live.new_units(stream).writeStream.outputMode("append").format("memory").queryName("units").option("checkpointLocation", str(tmp_path / "cp2")).trigger(availableNow=True).start().awaitTermination(120)
+    assert spark.sql("select * from units").count() == 1
