@@ -55,3 +55,20 @@ def test_awkward_documents_pass_every_stage(spark):
             assert sorted(r["doc_id"] for r in docs.collect()) == [3, 4, 5]
         if name == "secret_scan":
             assert {r["doc_id"]: r["text"] for r in docs.collect()}[5] == "[assign] and more plain words"
+
+
+def test_an_empty_table_passes_every_stage(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    for _, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, "")
+        assert out.count() == 0
+        docs = spark.createDataFrame([], out.schema)
+
+
+def test_repeated_rows_do_not_break_a_stage(spark):
+    row = (7, "plain words that repeat as a row", "en", "s", 32)
+    docs = spark.createDataFrame([row, row, (8, "quite other words in this one", "en", "s", 29)], "doc_id long, text string, lang string, source string, n_chars long")
+    for _, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, "")
+        docs = spark.createDataFrame(out.collect(), out.schema)
+    assert {r["doc_id"] for r in docs.collect()} == {7, 8}
