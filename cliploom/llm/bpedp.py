@@ -146,18 +146,22 @@ class PrefixCoder:
 
 
 class Pieces(dict):
-    """piece: (its ids in decimals, each followed by a comma; the bytes they decode to)."""
+    """piece: (its ids in decimals, each followed by a comma; the bytes they decode
+    to). Of the pieces met before the newest TABLE_SIZE, those met again are kept."""
 
     def __init__(self, coder: PrefixCoder):
         super().__init__()
         self.coder = coder
+        self.older: dict[str, tuple[bytes, bytes]] = {}
 
     def __missing__(self, piece: str) -> tuple[bytes, bytes]:
-        ids = [self.coder.special[piece]] if piece in self.coder.special else self.coder.encode_piece(piece.encode())
-        if len(self) >= TABLE_SIZE:
-            self.clear()
-        got = ("".join(f"{i}," for i in ids).encode(), b"".join(self.coder.bytes_of[i] for i in ids))
+        if (got := self.older.get(piece)) is None:
+            ids = [self.coder.special[piece]] if piece in self.coder.special else self.coder.encode_piece(piece.encode())
+            got = ("".join(f"{i}," for i in ids).encode(), b"".join(self.coder.bytes_of[i] for i in ids))
         if len(piece) < 64:
+            if len(self) >= TABLE_SIZE:
+                self.older = dict(self)
+                self.clear()
             self[piece] = got
         return got
 
