@@ -96,6 +96,12 @@ def bounded_sample(rows: DataFrame, by: str, most: int) -> DataFrame:
     return thin.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= most).drop("__n")
 
 
+def broadcast_if_small(df: DataFrame, most: int = 1 << 20) -> DataFrame:
+    """df, written, with a broadcast hint only if it has at most `most` rows."""
+    kept = written(df, "keys")
+    return F.broadcast(kept) if kept.count() <= most else kept
+
+
 def tokenizer_path(name: str) -> str:
     """A vocabulary file: in the folder CLIPLOOM_TOKENIZERS names, else in the
     public_tokenizers package installed on every machine."""

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_sample, chunks, held_out, small_batches
+from .common import bounded_sample, broadcast_if_small, chunks, held_out, small_batches
 
 UND = "und"
 #: Trigram vectors that a worker keeps before it starts anew (a byte a dimension).
@@ -100,7 +100,7 @@ def fit(docs: DataFrame, per_language: int = 2000, dimensions: int = 1024, seed:
     """Languages, sorted, and their prototypes. The largest thing that reaches the
     driver is a partial sum for each task over the sample."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select(F.col("doc_id").cast("long"), F.col("lang").cast("string"))
-    chosen = bounded_sample(labelled, "lang", per_language).select("doc_id").distinct()
+    chosen = broadcast_if_small(bounded_sample(labelled, "lang", per_language).select("doc_id").distinct())
     sample = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).join(chosen, "doc_id", "left_semi").select(F.col("text").cast("string"), F.col("lang").cast("string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
