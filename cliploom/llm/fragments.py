@@ -41,9 +41,10 @@ from .common import chunks, small_batches, texts_of
 
 #: Packed fragments per bucket, before compression.
 BUCKET_BYTES = 4 << 20
-#: Most bytes, and share, of texts in the sample; different fragments of a minimiser
-#: there that make it hot; most minimisers that are told to all tasks (8 bytes each).
-SAMPLE_BYTES, SAMPLE_SHARE, HOT_FRAGMENTS, MOST_HOT = 8 << 30, 1 / 16, 64, 1 << 20
+#: Most bytes, and share, of texts in the sample; bytes that a fragment has, about; a
+#: minimiser is hot if its fragments would fill a bucket, HOT_FRAGMENTS different ones
+#: in the sample at least; most minimisers that are told to all tasks (8 bytes each).
+SAMPLE_BYTES, SAMPLE_SHARE, FRAGMENT_BYTES, HOT_FRAGMENTS, MOST_HOT = 8 << 30, 1 / 16, 150, 32, 1 << 20
 NO_ID = -(1 << 63)
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 BLOCK = "bucket int, doc_id long, first long, last long, packed binary"
@@ -140,7 +141,8 @@ def hot_minimisers(docs: DataFrame, total: int, k: int, m: int, read: Callable[[
             values, n = np.unique(np.asarray(list(distinct.values()), np.int64), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(n.astype(np.int64))], ["least", "n"])
 
-    found = sample.mapInArrow(count, "least long, n long").groupBy("least").agg(F.sum("n").alias("n")).where(F.col("n") >= HOT_FRAGMENTS)
+    found = sample.mapInArrow(count, "least long, n long").groupBy("least").agg(F.sum("n").alias("n"))
+    found = found.where(F.col("n") >= max(HOT_FRAGMENTS, int(share * BUCKET_BYTES / FRAGMENT_BYTES)))
     rows = found.orderBy(F.desc("n"), "least").limit(MOST_HOT).collect()
     return np.sort(np.asarray([r["least"] for r in rows], np.int64)).astype(np.uint64)
 

@@ -141,6 +141,7 @@ def test_hot_minimisers_change_no_result(docs, operator, monkeypatch):
     plain = {r["doc_id"]: tuple(r) for r in operator(docs).collect()}
     monkeypatch.setattr(fragments, "SAMPLE_SHARE", 1.0)
     monkeypatch.setattr(fragments, "HOT_FRAGMENTS", 2)
+    monkeypatch.setattr(fragments, "FRAGMENT_BYTES", fragments.BUCKET_BYTES)
     k, m, read = (20, 3, superkmer.read_words) if operator is superkmer.kept_words else (100, 16, dcsuffix.read_bytes)
     own = fragments.keyed(docs)
     assert len(fragments.hot_minimisers(own, fragments.total_bytes(own), k, m, read)) > 5
