@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, small_batches, written
+from .common import broadcast_if_small, chunks, small_batches, written
 from .components import components
 from .fragments import NO_ID, keyed
 
@@ -284,7 +284,7 @@ def jaccard(a: bytes, b: bytes, words: int) -> float:
 def alike(docs: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
     """The pairs u, v of doc_ids whose texts have at least this Jaccard similarity.
     Only texts that some pair names are moved, once, and then joined to the pairs."""
-    named = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
+    named = broadcast_if_small(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct())
     own = keyed(docs)
     texts = written(own.join(named, own["doc_id"] == named["id"], "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "named")
     left, right = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("a")), texts.select(F.col("doc_id").alias("v"), F.col("text").alias("b"))
