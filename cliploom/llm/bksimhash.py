@@ -13,13 +13,15 @@ The shard trees travel with their shards, by shuffle: broadcasting every tree to
 every fingerprint would compare all pairs of a corpus.
 
 `similar_groups` and `dedup` are the wider form for a given Jaccard similarity of
-distinct shingles: fingerprints of 256 bits, within two standard deviations above
-the number of differing bits that the similarity leads to. Such a radius leaves no
-block equal for sure, so shards are drawn bits: as many bits as keep a shard small
-and as many draws as make a pair at the similarity meet with probability MEET;
-closer pairs meet sooner. A shard hands on two candidates a member at most, its
-nearest code and the smallest of its component there, and each candidate counts
-only if the shingles of both texts are as similar as asked for.
+distinct shingles. Texts with the very same set of shingles are one node; an equal
+fingerprint alone makes no two texts one. Fingerprints have 256 bits of the distinct
+shingles and link within two standard deviations above the number of differing bits
+that the similarity leads to. Such a radius leaves no block equal for sure, so shards
+are drawn bits: as many bits as keep a shard small and as many draws as make a pair at
+the similarity meet with probability MEET; closer pairs meet sooner. A shard hands on
+two candidates a member at most, its nearest code and the smallest of its component
+there, and each candidate counts only if the shingles of both texts are as similar as
+asked for.
 
 Defined results: null or empty texts have fingerprint zero and link like others;
 texts of fewer words than a shingle are one shingle; rows that repeat a doc_id
@@ -82,8 +84,8 @@ def remixed(h: np.ndarray, round_: int) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def wide_fingerprint(raw: bytes, words: int) -> bytes:
-    hashes = shingle_hashes(raw, words)
+def wide_fingerprint(hashes: np.ndarray) -> bytes:
+    """Of distinct shingles, as the similarity is: repeats weigh nothing."""
     return b"".join(majority(remixed(hashes, i)).to_bytes(8, "little") for i in range(1, WIDE + 1))
 
 
@@ -230,7 +232,7 @@ def draws(n: int, share: float) -> tuple[int, int]:
 
 
 def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """least, component_id: for the smallest doc_id of each distinct wide fingerprint
+    """least, component_id: for the smallest doc_id of each distinct set of shingles
     the smallest of all it is linked with (keys as in fingerprints(), never null)."""
     small_batches(docs.sparkSession)
     share, width = expected_share(similarity), 64 * WIDE
@@ -238,10 +240,12 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([wide_fingerprint(t.encode(), words) for t in batch.column("text").to_pylist()], pa.binary())], ["key", "fp"])
+            sets = [np.unique(shingle_hashes(t.encode(), words)) for t in batch.column("text").to_pylist()]
+            codes, same = [wide_fingerprint(x) for x in sets], [xxhash.xxh3_128_digest(x.tobytes()) for x in sets]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(codes, pa.binary()), pa.array(same, pa.binary())], ["key", "fp", "same"])
 
-    found = keyed(docs).mapInArrow(marked, "key long, fp binary")
-    nodes = written(found.groupBy("fp").agg(F.min("key").alias("least")), "wide")
+    found = keyed(docs).mapInArrow(marked, "key long, fp binary, same binary")
+    nodes = written(found.groupBy("fp", "same").agg(F.min("key").alias("least")).drop("same"), "wide")
     n = nodes.count()
     bits, times = draws(n, share)
     chosen = np.stack([np.random.default_rng([SEED, i]).permutation(width)[:bits] for i in range(times)])

@@ -324,6 +324,14 @@ def test_op8_similar_texts_leave_one(spark):
     assert kept == set(range(30)) | {200 + i for i in range(30)} | {300, 302}
 
 
+def test_op8_a_repeated_line_makes_no_copies(spark):
+    line = " ".join(words(5))
+    rows = [(i, " ".join([line] * 60 + [f"own{i}x{j}" for j in range(200)])) for i in range(6)]
+    rows.append((6, rows[0][1] + " " + line))  # the very same shingles but one
+    kept = {r["doc_id"] for r in bksimhash.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == set(range(6))
+
+
 def test_op8_nearest_codes():
     codes = np.asarray([[0], [1], [3], [15 << 40]], np.uint64)
     links = bksimhash.Links(codes, 3)
