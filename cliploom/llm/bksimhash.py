@@ -21,7 +21,9 @@ are drawn bits: as many bits as keep a shard small and as many draws as make a p
 the similarity meet with probability MEET; closer pairs meet sooner. A shard hands on
 two candidates a member at most, its nearest code and the smallest of its component
 there, and each candidate counts only if the shingles of both texts are as similar as
-asked for.
+asked for. This joins most copies without naming all pairs of a large family. What it
+leaves out is then found exactly: prefixes.py names every pair of texts not yet joined
+that can be as similar as asked for, and all of those are recounted too.
 
 Defined results: null or empty texts have fingerprint zero and link like others;
 texts of fewer words than a shingle are one shingle; rows that repeat a doc_id
@@ -42,7 +44,8 @@ from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, chunks, small_batches, written
 from .components import components
-from .fragments import NO_ID, keyed
+from .fragments import NO_ID, keyed, total_bytes
+from .prefixes import Order, candidates, frequent
 
 RADIUS, BLOCKS, BLOCK_BITS, SEED = 3, 4, 16, 42
 #: Fingerprints of a shard that the number of leading bits aims at.
@@ -237,15 +240,22 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
     small_batches(docs.sparkSession)
     share, width = expected_share(similarity), 64 * WIDE
     radius = int(width * share + 2 * math.sqrt(width * share * (1 - share)))
+    own = keyed(docs)
+    ordered = Order(frequent(own, total_bytes(own), lambda raw: np.unique(shingle_hashes(raw, words))))
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
             sets = [np.unique(shingle_hashes(t.encode(), words)) for t in batch.column("text").to_pylist()]
-            codes, same = [wide_fingerprint(x) for x in sets], [xxhash.xxh3_128_digest(x.tobytes()) for x in sets]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(codes, pa.binary()), pa.array(same, pa.binary())], ["key", "fp", "same"])
-
-    found = keyed(docs).mapInArrow(marked, "key long, fp binary, same binary")
-    nodes = written(found.groupBy("fp", "same").agg(F.min("key").alias("least")).drop("same"), "wide")
+            columns = [
+                pa.array([wide_fingerprint(x) for x in sets], pa.binary()),
+                pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary()),
+                pa.array([len(x) for x in sets], pa.int32()),
+                pa.array([ordered.prefix(x, similarity).tobytes() for x in sets], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["key", "fp", "same", "size", "prefix"])
+
+    found = own.mapInArrow(marked, "key long, fp binary, same binary, size int, prefix binary")
+    nodes = written(found.groupBy("fp", "same").agg(F.min("key").alias("least"), F.first("size").alias("size"), F.first("prefix").alias("prefix")).drop("same"), "wide")
     n = nodes.count()
     bits, times = draws(n, share)
     chosen = np.stack([np.random.default_rng([SEED, i]).permutation(width)[:bits] for i in range(times)])
@@ -273,10 +283,16 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
                 high.append(least[of[j]])
         return pa.table([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in (low, high)], ["u", "v"])
 
-    spread = nodes.mapInArrow(dealt, "drawn long, least long, fp binary").withColumn("shard", F.pmod(F.xxhash64("drawn"), F.lit(shards)))
+    spread = nodes.select("least", "fp").mapInArrow(dealt, "drawn long, least long, fp binary").withColumn("shard", F.pmod(F.xxhash64("drawn"), F.lit(shards)))
     pairs = spread.groupBy("shard").applyInArrow(linked, "u long, v long").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    up = components(alike(docs, written(pairs, "pairs"), words, similarity))
-    return nodes.select("least").join(up, nodes["least"] == up["u"], "left").select("least", F.coalesce("v", "least").alias("component_id"))
+    sure = written(alike(docs, written(pairs, "pairs"), words, similarity), "sure")
+    grouped = _topped(nodes.select("least", "size", "prefix"), components(sure)).select(F.col("least").alias("node"), F.col("component_id").alias("grouped"), "size", "prefix")
+    rest = written(candidates(written(grouped, "grouped"), similarity), "rest")
+    return _topped(nodes.select("least"), components(sure.union(alike(docs, rest, words, similarity))))
+
+
+def _topped(nodes: DataFrame, up: DataFrame) -> DataFrame:
+    return nodes.join(up, nodes["least"] == up["u"], "left").withColumn("component_id", F.coalesce("v", "least")).drop("u", "v")
 
 
 def jaccard(a: bytes, b: bytes, words: int) -> float:

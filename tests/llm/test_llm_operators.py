@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from cliploom.llm import binpack, bksimhash, bpedp, components, dcsuffix, exthash, fragments, hdlang, mih, secretidx, superkmer, toxseg
+from cliploom.llm import binpack, bksimhash, bpedp, components, dcsuffix, exthash, fragments, hdlang, mih, prefixes, secretidx, superkmer, toxseg
 from cliploom.llm.common import bounded_sample, tokenizer_path
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, kept string"
@@ -332,6 +332,46 @@ def test_op8_a_repeated_line_makes_no_copies(spark):
     assert kept == set(range(6))
 
 
+def grouped_by_brute_force(rows, similarity=0.8):
+    sets = {i: set(bksimhash.shingle_hashes(t.encode(), 5).tolist()) for i, t in rows}
+    least = {i: i for i in sets}
+    for i in sorted(sets):
+        for j in sorted(sets):
+            if i < j and len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]):
+                low, high = sorted((least[i], least[j]))
+                least = {k: low if v == high else v for k, v in least.items()}
+    return least
+
+
+def test_op8_a_family_of_variants_keeps_no_near_copy(spark):
+    g, base = random.Random(5), words(200)
+    rows = []
+    for i in range(160):
+        text = list(base)
+        for j in range(g.choice([3, 5, 6, 7])):
+            text[g.randrange(200)] = f"own{i}x{j}"
+        rows.append((i, " ".join(text)))
+    rows += [(200 + i, f"{t} tail{i} tail" if i % 2 else f"head{i} {t}") for i, t in rows[::4]]
+    found = bksimhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = grouped_by_brute_force(rows)
+    assert 5 < len(set(want.values())) < 150
+    assert {r["least"]: r["component_id"] for r in found.collect()} == want
+
+
+def test_op8_prefixes_lose_no_pair(spark):
+    g, sets = np.random.default_rng(8), []
+    for i in range(60):
+        one = g.integers(0, 1 << 63, int(g.integers(1, 60)), np.uint64)
+        sets += [np.unique(one), np.unique(np.append(one[: len(one) * 9 // 10], g.integers(0, 1 << 63, 2, np.uint64))), np.unique(np.append(one, sets[-1][:5] if sets else one))]
+    want = {(j, i) for i in range(len(sets)) for j in range(i) if len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j]))}
+    for last in (np.zeros(0, np.uint64), np.concatenate([x[::3] for x in sets[:90]])):
+        order = prefixes.Order(np.unique(last))
+        rows = [(i, i, len(x), bytearray(order.prefix(x, 0.8).tobytes())) for i, x in enumerate(sets)]
+        found = prefixes.candidates(spark.createDataFrame(rows, "node long, grouped long, size int, prefix binary"), 0.8)
+        assert want <= {(r["v"], r["u"]) for r in found.collect()}
+    assert len(want) > 20
+
+
 def test_op8_nearest_codes():
     codes = np.asarray([[0], [1], [3], [15 << 40]], np.uint64)
     links = bksimhash.Links(codes, 3)
