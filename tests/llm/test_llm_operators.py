@@ -358,6 +358,17 @@ def test_op8_a_family_of_variants_keeps_no_near_copy(spark):
     assert {r["least"]: r["component_id"] for r in found.collect()} == want
 
 
+def test_op8_every_pair_at_the_similarity_is_found(spark):
+    rows = []
+    for i in range(150):
+        own = [f"t{i}w{j}" for j in range(204)]  # 200 shingles, 178 of them in both: 178 / 222
+        rows += [(i, " ".join(own)), (1000 + i, " ".join(own[:182] + [f"t{i}v{j}" for j in range(22)]))]
+    line = " ".join(f"again{j}" for j in range(5))
+    rows += [(2000, " ".join(f"r{j}" for j in range(100))), (2001, " ".join([f"r{j}" for j in range(100)] + [line] * 80))]
+    kept = {r["doc_id"] for r in bksimhash.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == {*range(150), 2000}
+
+
 def test_op8_prefixes_lose_no_pair(spark):
     g, sets = np.random.default_rng(8), []
     for i in range(60):
