@@ -66,6 +66,24 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[:n], x[width - span : width - span + n])
 
 
+#: Bits of a position beside a hash of 40 bits.
+PLACE_BITS = 24
+
+
+def leftmost_least(hashes: np.ndarray, width: int) -> np.ndarray:
+    """The smallest 40-bit hash of each `width` neighbours, with the lowest bits of its
+    leftmost position. Positions start anew in each block, blocks overlap by a window
+    less one, and no block has more positions than the bits can tell apart."""
+    step = (1 << PLACE_BITS) - width + 1
+    parts = []
+    for a in range(0, max(1, len(hashes) - width + 1), step):
+        block = hashes[a : a + step + width - 1]
+        parts.append(sliding_min((block << np.uint64(24)) | np.arange(len(block), dtype=np.uint64), width))
+        if a:  # positions of neighbouring blocks compare as those of the whole
+            parts[-1] = (parts[-1] & ~np.uint64(0xFFFFFF)) | (((parts[-1] & np.uint64(0xFFFFFF)) + np.uint64(a)) & np.uint64(0xFFFFFF))
+    return np.concatenate(parts) if len(parts) > 1 else parts[0]
+
+
 def to_planes(x: np.ndarray, width: int | None = None) -> bytes:
     """Integers as one run of bytes for each of their (lowest `width`) places."""
     return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize)[:, :width].T).tobytes()
@@ -100,8 +118,7 @@ def fragments_of(texts: Texts, k: int, m: int):
     n = int(texts.lengths.sum())
     if n < k or len(texts.grams) < k - m + 1:
         return None
-    packed = (mixed(texts.grams) >> np.uint64(24) << np.uint64(24)) | np.arange(len(texts.grams), dtype=np.uint64)
-    least = sliding_min(packed, k - m + 1)[: n - k + 1]
+    least = leftmost_least(mixed(texts.grams) >> np.uint64(24), k - m + 1)[: n - k + 1]
     doc_end = np.cumsum(texts.lengths)
     valid = np.ones(n + 1, bool)
     for a, b in zip(np.maximum(doc_end - k + 1, doc_end - texts.lengths).tolist(), doc_end.tolist(), strict=True):

@@ -150,6 +150,17 @@ def test_hot_minimisers_change_no_result(docs, operator, monkeypatch):
     assert {r["doc_id"]: tuple(r) for r in operator(docs).collect()} == plain
 
 
+def test_minimisers_of_very_long_texts_do_not_depend_on_position():
+    g, n = np.random.default_rng(3), (1 << 24) + 5000
+    raw = g.integers(97, 123, n, np.uint8)
+    raw[-3000:] = raw[1000:4000]
+    texts = dcsuffix.read_bytes([raw.tobytes()])
+    _, first, _, sizes, least, _, _ = fragments.fragments_of(texts, 100, 16)
+    of = np.repeat(least, sizes)
+    assert len(of) == n - 99 and (np.diff(first) == sizes[:-1]).all()
+    assert (of[-2901:] == of[1000:3901]).all()
+
+
 def test_suffix_array():
     for _ in range(200):
         s = [rng.randint(1, 3) for _ in range(rng.randint(0, 70))]
