@@ -8,6 +8,8 @@ while names repeat, the remaining suffixes are sorted by their first symbol and
 the rank of the next sampled suffix, and both are merged. Neighbours in the
 suffix array with the same first `LENGTH` bytes are equal strings: the first by
 (doc_id, start) stays, and every byte that one of the others covers is removed.
+Strings of hot minimisers are not suffix-sorted: they travel singly and are settled by
+128-bit digests (fragments.py).
 
 Sorting triples of the whole corpus at once would move over 16 bytes for each
 byte of text and level of the recursion; dealt out by content first, a text moves

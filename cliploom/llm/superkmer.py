@@ -4,7 +4,8 @@ Consecutive windows of `k` words that share a minimiser travel as one packed
 string to its bucket (fragments.py). There the windows of all packed strings are
 sorted, so that equal ones are neighbours: the first of them by (doc_id, start)
 stays and the others are marked, exactly, by their text. Every word that a marked
-window covers is removed.
+window covers is removed. Windows of hot minimisers are not packed or sorted by text:
+they travel singly and are settled by 128-bit digests (fragments.py).
 
 Words are runs of bytes other than space and 0x09 to 0x0D, unchanged. Defined
 results: null or empty text and texts of fewer than `k` words lose nothing; a
