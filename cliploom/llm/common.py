@@ -9,6 +9,7 @@ columns (clashing names included) never reach their plans.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -17,28 +18,73 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bytes of text that a Python worker handles at once.
 CHUNK_BYTES = 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: `spark.checkpoint.dir`, or,
-    only where neither it nor a checkpoint directory is set (tests), a new one."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    """The folder that driver and executors share: `spark.checkpoint.dir`, or, only
+    where it is unset and all runs in one process (tests), a new one. On a cluster a
+    machine's own folder would be no shared one, so there it must be set."""
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", "") or context.getCheckpointDir()
     if not found:
+        if not re.match(r"local(\[|$)", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="cliploom-shared-")
-        spark.sparkContext.setCheckpointDir(found)
+        context.setCheckpointDir(found)
     return found.rstrip("/")
 
 
+#: Folders that written() made and nothing has deleted yet.
+_folders: list[str] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df, written once as Parquet to the shared folder and read again: cuts the
     lineage, survives lost executors, and is compressed on disk."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cliploom-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _folders.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.folder = path
+    return out
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    here = spark._jvm.org.apache.hadoop.fs.Path(path)
+    here.getFileSystem(spark._jsc.hadoopConfiguration()).delete(here, True)
+
+
+def release(*frames: DataFrame) -> None:
+    """Deletes the folders of written() tables that nothing reads any more."""
+    for df in frames:
+        if (path := getattr(df, "folder", None)) in _folders:
+            _folders.remove(path)
+            delete(df.sparkSession, path)
+
+
+def held() -> int:
+    """A mark for release_since()."""
+    return len(_folders)
+
+
+def release_since(spark: SparkSession, mark: int) -> None:
+    """Deletes every folder that written() has made since the mark. A result that
+    reads them must have been stored elsewhere first."""
+    while len(_folders) > mark:
+        delete(spark, _folders.pop())
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like `name` that df doesn't have yet, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,18 +128,22 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
         yield batch.slice(start)
 
 
+#: Values of a label that a model is fitted for, the most frequent ones.
+MOST_LABELS = 256
+
+
 def bounded_sample(rows: DataFrame, by: str, most: int) -> DataFrame:
-    """At most `most` rows of each value of `by` (a label of few values), those whose
-    doc_id hashes lowest. Counts thin the rows first, so that what is ranked stays
-    a few times the sample however large the table is."""
-    counted = rows.groupBy(by).count().collect()
-    share = F.lit(1.0)
-    for r in counted:
-        share = F.when(F.col(by) == r[by], F.lit(min(1.0, (2 * most + 100) / r["count"]))).otherwise(share)
-    draw = F.xxhash64("doc_id", F.lit(5))
-    thin = rows.where(F.pmod(draw, F.lit(1 << 30)) < share * (1 << 30))
-    order = Window.partitionBy(by).orderBy(F.pmod(draw, F.lit(1 << 30)), "doc_id")
-    return thin.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= most).drop("__n")
+    """At most `most` rows of each of the MOST_LABELS most frequent values of `by`,
+    those whose doc_id hashes lowest. Counts thin the rows first, so that what is
+    ranked stays a few times the sample however large the table is."""
+    counted = rows.groupBy(by).count().orderBy(F.desc("count"), by).limit(MOST_LABELS).collect()
+    kind, share, at = rows.schema[by].dataType, fresh(rows, "share"), fresh(rows, "at")
+    shares = [(r[by], int(min(1.0, (2 * most + 100) / r["count"]) * (1 << 30))) for r in counted]
+    schema = T.StructType([T.StructField(by, kind), T.StructField(share, T.LongType())])
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30))
+    thin = rows.join(F.broadcast(rows.sparkSession.createDataFrame(shares, schema)), by).where(draw < F.col(share))
+    order = Window.partitionBy(by).orderBy(draw, "doc_id")
+    return thin.withColumn(at, F.row_number().over(order)).where(F.col(at) <= most).drop(at, share).select(*rows.columns)
 
 
 def broadcast_if_small(df: DataFrame, most: int = 1 << 20) -> DataFrame:

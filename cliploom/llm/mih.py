@@ -7,45 +7,58 @@ Hamming radius are learned on a sample of at most `FIT_ROWS` vectors; the radius
 holds `COVER` of the sample's own true neighbours, which lie farther apart than
 those of the whole table.
 
-Index: a shard of at most about `SHARD_ROWS` codes is split into substrings of
-about log2(rows) bits, each with a table from value to rows. Codes within radius
-r agree within r // m bits on one of m substrings (pigeonhole), so probing those
-values finds every one; codes beyond r are dropped by their distance, and the
-rest is ranked by the exact cosine in double precision. The radius of a query
-grows until it has `k` candidates or all.
-
-A block of at most about `BLOCK_ROWS` queries meets each shard once, in a task
-that holds only both; each hands on k rows a query.
-
-Defined results: vectors that are null, zero, of another length than most, or
-with null or non-finite components take no part; a query row never finds its own
-vec_id; of rows that repeat a query's vec_id the smallest vector asks; repeated
-other rows are candidates each; a null vec_id takes no part.
+Index: a shard of codes is split into substrings of about log2(rows) bits, each with
+a table from value to rows. Codes within radius r agree within r // m bits on one of
+m substrings (pigeonhole), so probing those values finds every one; codes beyond r
+are dropped by their distance, and the rest is ranked by the exact cosine in double
+precision. The radius of a query grows until it has `k` candidates or all.
+
+One task owns a shard: it gathers the shard's rows, builds the index once, and the
+queries stream past it batch by batch, so that a row moves once and a query once for
+each shard. Up to `SHARDS` shards hold `SHARD_ROWS` rows or more; larger tables get
+larger shards, up to `SHARD_BYTES` of vectors, which keeps the number of times that
+queries move small, and only then more of them. Rows are dealt by their number, so
+copies of one vector spread over all shards.
+
+Defined results: vectors that are null, zero, of another length than most, or with
+null or non-finite components, and rows with a null vec_id, take no part. Every row
+is known by its own number: a query finds all rows but itself, also others with its
+vec_id or its vector, and rows that repeat a vec_id ask each. Ties go to the smaller
+vec_id. Only vec_id and embedding are read, so other columns may have any name.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-FIT_ROWS, COVER, ASKED = 8192, 0.98, 256
-SHARD_ROWS, BLOCK_ROWS = 8192, 1024
+from .common import small_batches, written
+
+FIT_ROWS, COVER, ASKED = 8192, 0.97, 256
+SHARD_ROWS, SHARDS, SHARD_BYTES = 8192, 64, 64 << 20
 MOST_BITS = 64
+FOUND = "asks long, query_id long, vec_id long, score double"
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id and v (array<double>) of the rows that take part."""
-    v = F.col("embedding").cast("array<double>")
-    rows = vectors.where("vec_id is not null").select(F.col("vec_id").cast("long"), v.alias("v"))
-    fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
-    rows = rows.where(F.coalesce(fine, F.lit(False)))
+    """vec_id and v of the rows whose vector is whole and not zero, of any length."""
+    real = isinstance(vectors.schema["embedding"].dataType.elementType, T.FloatType)
+    rows = vectors.where("vec_id is not null").select(F.col("vec_id").cast("long"), F.col("embedding").cast(f"array<{'float' if real else 'double'}>").alias("v"))
+    whole = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return rows.where(F.coalesce(whole & F.exists("v", lambda x: x != 0), F.lit(False)))
+
+
+def usual_length(rows: DataFrame) -> int:
+    """The length that most vectors have, the larger of equals; 0 of no rows."""
     size = rows.groupBy(F.size("v").alias("size")).count().orderBy(F.desc("count"), F.desc("size")).first()
-    return rows.where(F.size("v") == (size["size"] if size else 0))
+    return size["size"] if size else 0
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -110,7 +123,8 @@ class MultiIndex:
             if most >= size:
                 self.flips[size, most] = np.arange(1 << size)
             else:
-                self.flips[size, most] = np.asarray([sum(1 << i for i in on) for n in range(most + 1) for on in combinations(range(size), n)], np.int64)
+                chosen = (on for n in range(most + 1) for on in combinations(range(size), n))
+                self.flips[size, most] = np.asarray([sum(1 << i for i in on) for on in chosen], np.int64)
         return self.flips[size, most]
 
     def within(self, code: np.uint64, radius: int) -> np.ndarray:
@@ -126,54 +140,94 @@ class MultiIndex:
         return found[np.bitwise_count(self.codes[found] ^ code) <= radius]
 
 
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    flat = column.combine_chunks()
-    return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
-
-
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
-    """query_id, rank, vec_id, score; `queries` are rows of the same form."""
-    rows = usable(vectors)
-    asking = usable(queries).groupBy("vec_id").agg(F.min("v").alias("v"))
-    n, n_asking = rows.count(), asking.count()
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(FIT_ROWS).toArrow()
-    schema = "query_id long, vec_id long, score double"
-    if n < 2 or not n_asking:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    model = Codes(_matrix(sample.column("v")), k)
-    shards, blocks = math.ceil(n / SHARD_ROWS), math.ceil(n_asking / BLOCK_ROWS)
-
-    def search(key: tuple, index: pa.Table, ask: pa.Table) -> pa.Table:
-        out: list[np.ndarray] = []
-        if index.num_rows and ask.num_rows:
-            ids, vectors = index.column("vec_id").to_numpy(), _matrix(index.column("v"))
-            units = _unit(vectors)
-            tables = MultiIndex(model.of(vectors), model.bits)
-            asked = _matrix(ask.column("v"))
-            for query, code, own in zip(ask.column("vec_id").to_pylist(), model.of(asked), _unit(asked), strict=True):
-                others = int((ids != query).sum())
-                radius = model.radius
-                while True:
-                    found = tables.within(code, radius)
-                    found = found[ids[found] != query]
-                    if len(found) >= min(k, others) or radius >= model.bits:
-                        break
-                    radius += len(tables.parts)
-                score = (units[found] * own).sum(axis=1)
-                best = np.lexsort((ids[found], -score))[:k]
-                out.append(np.stack([np.full(len(best), query), found[best]]))
-                out[-1] = (out[-1][0], ids[out[-1][1]], score[best])
-        columns = [np.concatenate([o[i] for o in out]) if out else np.zeros(0) for i in range(3)]
-        return pa.table([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())], ["query_id", "vec_id", "score"])
-
-    spread = lambda df, own, m, other, n: df.withColumn(own, F.pmod(F.xxhash64("vec_id"), F.lit(m))).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    index = spread(rows, "shard", shards, "block", blocks).groupBy("shard", "block")
-    ask = spread(asking, "block", blocks, "shard", shards).groupBy(F.col("shard").cast("long"), F.col("block").cast("int"))
-    found = index.cogroup(ask).applyInArrow(search, schema)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1).astype(np.float64)
+
+
+class Shard:
+    """The rows of one shard and their index."""
+
+    def __init__(self, parts: list[pa.RecordBatch], model: Codes):
+        rows = pa.Table.from_batches(parts)
+        self.row, self.vec_id = rows.column("row").to_numpy(), rows.column("vec_id").to_numpy()
+        vectors = _matrix(rows.column("v"))
+        self.units, self.model = _unit(vectors), model
+        self.index = MultiIndex(model.of(vectors), model.bits)
+
+    def nearest(self, row: int, code: np.uint64, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """vec_ids and scores of up to k rows that are not the query's own."""
+        others = len(self.row) - int((self.row == row).sum())
+        radius = self.model.radius
+        while True:
+            found = self.index.within(code, radius)
+            found = found[self.row[found] != row]
+            if len(found) >= min(k, others) or radius >= self.model.bits:
+                break
+            radius += len(self.index.tables)
+        score = (self.units[found] * own).sum(axis=1)
+        best = np.lexsort((self.vec_id[found], -score))[:k]
+        return self.vec_id[found[best]], score[best]
+
+
+def _shards(n: int, width: int) -> int:
+    per = max(SHARD_ROWS, min(math.ceil(n / SHARDS), SHARD_BYTES // (8 * max(1, width))))
+    return math.ceil(n / per)
+
+
+def nearest(vectors: DataFrame, asking: Column, k: int = 5) -> DataFrame:
+    """query_id, rank, vec_id, score of the rows for which `asking`, a condition over
+    vec_id, holds: the k nearest other rows of each."""
+    spark = vectors.sparkSession
+    small_batches(spark)
+    whole = usable(vectors)
+    width = usual_length(whole)
+    rows = written(whole.where(F.size("v") == width).withColumn("row", F.monotonically_increasing_id()), "vectors")
+    n = rows.count()
+    if n < 2:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    draw = F.pmod(F.xxhash64("row"), F.lit(1 << 30))
+    thin = rows.where(draw < int(min(1.0, (2 * FIT_ROWS + 100) / n) * (1 << 30)))
+    model = Codes(_matrix(thin.orderBy(draw, "row").limit(FIT_ROWS).toArrow().column("v")), k)
+    shards = _shards(n, width)
+    shard = F.pmod(F.xxhash64("row", F.lit(1)), F.lit(shards))
+    index = rows.select(shard.alias("shard"), F.lit(False).alias("asks"), "row", "vec_id", "v")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))
+    ask = rows.where(asking).select(every.alias("shard"), F.lit(True).alias("asks"), "row", "vec_id", "v")
+    met = index.union(ask).repartition(shards, "shard").sortWithinPartitions("shard", "asks")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of a shard come first, then the queries that ask it."""
+        held, at, built = [], None, None
+        for whole in batches:
+            number, asks = whole.column("shard").to_numpy(), whole.column("asks").to_numpy(zero_copy_only=False)
+            kinds = 2 * number + asks
+            edges = np.flatnonzero(np.append(True, np.diff(kinds) != 0)).tolist()
+            for a, b in zip(edges, [*edges[1:], len(kinds)], strict=True):
+                part = whole.slice(a, b - a)
+                if number[a] != at:
+                    held, at, built = [], number[a], None
+                if not asks[a]:
+                    held.append(part)
+                elif held:
+                    built = built or Shard(held, model)
+                    yield _answers(part, built, k)
+
+    found = met.mapInArrow(search, FOUND)
+    order = Window.partitionBy("asks").orderBy(F.desc("score"), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
+
+
+def _answers(asking: pa.RecordBatch, shard: Shard, k: int) -> pa.RecordBatch:
+    asked = _matrix(asking.column("v"))
+    rows, ids = asking.column("row").to_numpy(), asking.column("vec_id").to_numpy()
+    got = [shard.nearest(*x, k) for x in zip(rows.tolist(), shard.model.of(asked), _unit(asked), strict=True)]
+    sizes = [len(found) for found, _ in got]
+    columns = [np.repeat(rows, sizes), np.repeat(ids, sizes), *(np.concatenate([g[i] for g in got]) for i in (0, 1))]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["asks", "query_id", "vec_id", "score"])
 
 
 def self_search(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     """The rows whose vec_id is divisible by `every`, against all rows."""
-    return nearest(vectors, vectors.where(F.col("vec_id") % every == 0), k)
+    return nearest(vectors, F.col("vec_id") % every == 0, k)
