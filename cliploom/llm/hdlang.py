@@ -7,16 +7,25 @@ A language's prototype is the bundle of its learned texts, each scaled to length
 one; the mean of all prototypes, common to all languages, is taken off. A text
 gets the language whose prototype has the largest cosine with its own bundle.
 
-The learned texts are a sample of at most `per_language` labelled documents of
-each language, by the hash of their id; everything else sees every document.
-
-Defined results: a text that is null or has no letter, or a table from which
-nothing can be learned, gives `und` with score 0. Ties go to the smaller name.
+The learned texts are a sample of at most `per_language` labelled documents of each
+of the MOST_LABELS most frequent languages, by the hash of their id; everything else
+sees every document.
+
+A text unlike all learned languages still has a largest cosine: of random bundles it
+varies by 1 / sqrt(dimensions) about 0. What rejects is therefore read from the sample,
+a quarter of the cosine that all but one in a hundred of its texts reach (a text of two
+or three languages has more), and only texts with `ENOUGH` distinct trigrams are judged.
+
+Defined results: a text that is null or has no letter, or a table from which nothing
+can be learned, gives `und` with score 0. Ties go to the smaller name. Rows that repeat
+a doc_id are told each; a null doc_id is not held out. A table without a column lang
+teaches nothing. Extra columns may have any name.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_sample, broadcast_if_small, chunks, held_out, small_batches
+from .common import MOST_LABELS, bounded_sample, broadcast_if_small, chunks, fresh, held_out, release, small_batches, written
 
 UND = "und"
 #: Trigram vectors that a worker keeps before it starts anew (a byte a dimension).
 TABLE_SIZE = 40_000
+#: Distinct trigrams from which on a text can be told to resemble no language.
+ENOUGH = 200
 
 
 class Binder:
@@ -37,6 +48,7 @@ class Binder:
     def __init__(self, dimensions: int = 1024, seed: int = 7):
         self.dimensions, self.seed = dimensions, seed
         self.letters: dict[int, np.ndarray] = {}
+        self.distinct = 0  # trigrams of the latest text
         self.reset()
         self.is_letter = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
@@ -75,6 +87,7 @@ class Binder:
         if (found := self.counts(text)) is None:
             return None
         trigrams, weights = found
+        self.distinct = len(trigrams)
         if len(self.row_of) > TABLE_SIZE:
             self.reset()
         row_of = self.row_of
@@ -96,12 +109,39 @@ def binder(dimensions: int, seed: int) -> Binder:
     return _binders[dimensions, seed]
 
 
-def fit(docs: DataFrame, per_language: int = 2000, dimensions: int = 1024, seed: int = 7) -> tuple[list[str], np.ndarray]:
-    """Languages, sorted, and their prototypes. The largest thing that reaches the
-    driver is a partial sum for each task over the sample."""
-    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select(F.col("doc_id").cast("long"), F.col("lang").cast("string"))
-    chosen = broadcast_if_small(bounded_sample(labelled, "lang", per_language).select("doc_id").distinct())
-    sample = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).join(chosen, "doc_id", "left_semi").select(F.col("text").cast("string"), F.col("lang").cast("string"))
+@dataclass(frozen=True)
+class Profiles:
+    """Languages, sorted, and their prototypes."""
+
+    languages: list[str]
+    prototypes: np.ndarray
+    dimensions: int
+    seed: int
+
+    def tell(self, text: str | None) -> tuple[str, float, int]:
+        """Language, cosine within 0 and 1, and distinct trigrams of a text."""
+        own = binder(self.dimensions, self.seed)
+        v = own.bundle(text) if self.languages and text else None
+        if v is None:
+            return UND, 0.0, 0
+        near = self.prototypes @ v
+        best = int(np.argmax(near))
+        return self.languages[best], float(np.clip(near[best], 0.0, 1.0)), own.distinct
+
+
+def learned(docs: DataFrame, per_language: int = 2000) -> DataFrame:
+    """The sample: text and lang. No held-out document is in it."""
+    if "lang" not in docs.columns:
+        return docs.sparkSession.createDataFrame([], "text string, lang string")
+    own = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"))
+    labelled = own.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    chosen = broadcast_if_small(bounded_sample(labelled.select("doc_id", "lang"), "lang", per_language).distinct())
+    return written(labelled.join(chosen, ["doc_id", "lang"], "left_semi").select("text", "lang"), "learned")
+
+
+def fit(sample: DataFrame, dimensions: int = 1024, seed: int = 7) -> Profiles:
+    """From the sample. The largest thing that reaches the driver is a sum for each
+    of at most MOST_LABELS languages and each dimension."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, sums = binder(dimensions, seed), {}
@@ -109,15 +149,18 @@ def fit(docs: DataFrame, per_language: int = 2000, dimensions: int = 1024, seed:
             for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
                 if (v := own.bundle(text or "")) is not None:
                     sums[lang] = sums.get(lang, 0) + v.astype(np.float64)
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([list(v) for v in sums.values()], pa.list_(pa.float64()))], ["lang", "v"])
+        vectors = pa.array([list(v) for v in sums.values()], pa.list_(pa.float64()))
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), vectors], ["lang", "v"])
 
     partial = sample.mapInArrow(run, "lang string, v array<double>").select("lang", F.posexplode("v"))
-    total = partial.groupBy("lang", "pos").agg(F.sum("col").alias("x")).collect()  # languages times dimensions
-    languages = sorted({r["lang"] for r in total})
+    total = partial.groupBy("lang", "pos").agg(F.sum("col").alias("x")).toArrow()
+    names, at = total.column("lang").to_pylist(), total.column("pos").to_numpy()
+    languages = sorted(set(names))
+    assert len(languages) <= MOST_LABELS
+    row_of = {lang: i for i, lang in enumerate(languages)}
     prototypes = np.zeros((len(languages), dimensions))
-    for r in total:
-        prototypes[languages.index(r["lang"]), r["pos"]] = r["x"]
-    return languages, centred(prototypes)
+    prototypes[[row_of[n] for n in names], at] = total.column("x").to_numpy()
+    return Profiles(languages, centred(prototypes).astype(np.float32), dimensions, seed)
 
 
 def centred(prototypes: np.ndarray) -> np.ndarray:
@@ -127,36 +170,42 @@ def centred(prototypes: np.ndarray) -> np.ndarray:
     return prototypes / np.maximum(np.linalg.norm(prototypes, axis=1, keepdims=True), 1e-12) if len(prototypes) else prototypes
 
 
-def annotated(docs: DataFrame, languages: list[str], prototypes: np.ndarray, dimensions: int = 1024, seed: int = 7) -> DataFrame:
-    """docs with two more columns, __lang and __score, for every whole text."""
+def annotated(docs: DataFrame, model: Profiles, lang: str, score: str, grams: str) -> DataFrame:
+    """docs with three more columns of these names, told from every whole text."""
     small_batches(docs.sparkSession)
-    told = prototypes.astype(np.float32)
     ready = docs.withColumn("text", F.col("text").cast("string"))
-    schema = T.StructType([*ready.schema.fields, T.StructField("__lang", T.StringType()), T.StructField("__score", T.DoubleType())])
+    more = [T.StructField(lang, T.StringType()), T.StructField(score, T.DoubleType()), T.StructField(grams, T.LongType())]
+    schema = T.StructType([*ready.schema.fields, *more])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = binder(dimensions, seed)
         for batch in chunks(batches):
-            names, scores = [], []
-            for text in batch.column("text").to_pylist():
-                v = own.bundle(text) if languages and text else None
-                near = told @ v if v is not None else None
-                best = int(np.argmax(near)) if near is not None else -1
-                names.append(languages[best] if best >= 0 else UND)
-                scores.append(float(np.clip(near[best], 0.0, 1.0)) if best >= 0 else 0.0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names, "__lang", "__score"])
+            told = [model.tell(text) for text in batch.column("text").to_pylist()]
+            columns = [pa.array([t[i] for t in told], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, lang, score, grams])
 
     return ready.mapInArrow(run, schema)
 
 
 def identify(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score."""
-    found = annotated(docs.select(F.col("doc_id").cast("long"), "text"), *fit(docs))
-    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"))
-
-
-def with_language(docs: DataFrame, least: float = 0.02) -> DataFrame:
-    """docs without those that have no letter or that resemble no language by
-    `least`; a missing lang gets the predicted one."""
-    kept = annotated(docs, *fit(docs)).where((F.col("__lang") != UND) & (F.col("__score") >= least))
-    return kept.withColumn("lang", F.coalesce("lang", "__lang")).drop("__lang", "__score")
+    sample = learned(docs)
+    model = fit(sample)
+    release(sample)
+    found = annotated(docs.select(F.col("doc_id").cast("long"), "text"), model, "lang_pred", "score", "grams")
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def with_language(docs: DataFrame) -> DataFrame:
+    """docs without those that have no letter or that resemble no learned language;
+    a missing lang gets the predicted one. Where no language could be learned only
+    texts without a letter go."""
+    sample = learned(docs)
+    model = fit(sample)
+    told = annotated(sample.select("text"), model, "lang", "score", "grams").where(F.col("grams") >= ENOUGH)
+    usual = told.agg(F.percentile("score", F.lit(0.01))).first()[0]
+    release(sample)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    lang, score, grams = (fresh(docs, f"told_{c}") for c in ("lang", "score", "grams"))
+    kept = annotated(docs, model, lang, score, grams).where((F.col(lang) != UND) & ((F.col(grams) < ENOUGH) | (F.col(score) >= (usual or 0.0) / 4)))
+    return kept.withColumn("lang", F.coalesce("lang", lang)).drop(lang, score, grams)

@@ -15,7 +15,10 @@ their id. Segments for the calibration are scored with the lexicon of the other
 half of the sample, so that no text is judged by itself.
 
 Defined results: null and empty texts score as texts without a segment; without
-labels of both classes every score is the share of toxic labels (none: 0).
+labels of both classes every score is the share of toxic labels (none: 0). Of labels
+that repeat a doc_id, toxic wins; rows that repeat a doc_id are scored each, and equal
+texts count once in the fit; a null doc_id is scored but never learned from. Only
+doc_id and text are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, chunks, held_out, small_batches, texts_of, written
+from .common import bounded_sample, chunks, held_out, release, small_batches, texts_of, written
 
 WORD = re.compile(r"[^\W\d_]+")
 STEMS = (6, 5, 4)
@@ -92,6 +95,18 @@ class Model:
         self.decay, self.scale = 1.0, 1.0
         self.weights: np.ndarray | None = None
 
+    def calibrate(self, words: int, positive: np.ndarray, times: np.ndarray, best: np.ndarray, sizes: np.ndarray) -> None:
+        """From clean texts: their words, their positive word scores and how often each
+        occurs, and the best segment and the words of each text."""
+        low, high = 1e-3, 20.0
+        for _ in range(60):  # the root of the mean of exp(decay * score) = 1 over clean words
+            mid = (low + high) / 2
+            mean = ((times * np.exp(np.minimum(mid * positive, 500))).sum() + (words - times.sum()) * np.exp(-mid * COST)) / max(1, words)
+            low, high = (mid, high) if mean < 1 else (low, mid)
+        self.decay = low
+        peak = self.decay * best - np.log(np.maximum(1, sizes))
+        self.scale = float(np.clip(np.exp(np.mean(peak) - 0.5772), 1e-9, 1.0))
+
     def chance(self, score: np.ndarray, n: np.ndarray) -> np.ndarray:
         return -np.expm1(-self.scale * np.maximum(n, 1) * np.exp(-self.decay * np.asarray(score)))
 
@@ -147,6 +162,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 10_000) -> Model:
     n_clean, n_toxic = sum(n[0]), sum(n[1])
     model = Model({}, n_toxic / max(1, n_clean + n_toxic))
     if not n_clean or not n_toxic:
+        release(told_texts)
         return model
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,23 +188,33 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 10_000) -> Model:
                 sizes.append(len(scores))
                 segments.append([s for s, _, _ in found])
                 positive.append([float(x) for x in scores[scores > 0]])
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(sizes, pa.int64()), pa.array(segments, pa.list_(pa.float64())), pa.array(positive, pa.list_(pa.float64()))], ["toxic", "n", "segments", "positive"])
-
-    seen = sample.mapInArrow(judge, "toxic int, n long, segments array<double>, positive array<double>").collect()  # at most 2 * per_class short rows
-    clean = [r for r in seen if not r["toxic"]]
-    words, positive = sum(r["n"] for r in clean), np.asarray([x for r in clean for x in r["positive"]])
-    low, high = 1e-3, 20.0
-    for _ in range(60):  # the root of the mean of exp(decay * score) = 1 over clean words
-        mid = (low + high) / 2
-        mean = (np.exp(np.minimum(mid * positive, 500)).sum() + (words - len(positive)) * np.exp(-mid * COST)) / max(1, words)
-        low, high = (mid, high) if mean < 1 else (low, mid)
-    model.decay = low
-    best = np.asarray([max(r["segments"], default=0.0) for r in clean])
-    sizes = np.maximum(1, [r["n"] for r in clean])
-    model.scale = float(np.clip(np.exp(np.mean(model.decay * best - np.log(sizes)) - 0.5772), 1e-9, 1.0))
-    x = np.asarray([model.features([(s, 0, 0) for s in r["segments"]], r["n"]) for r in seen])
-    y = np.asarray([r["toxic"] for r in seen], np.float64)
+            columns = [
+                batch.column("toxic"),
+                pa.array(sizes, pa.int64()),
+                pa.array(segments, pa.list_(pa.float64())),
+                pa.array(positive, pa.list_(pa.float64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["toxic", "n", "segments", "positive"])
+
+    seen = written(sample.mapInArrow(judge, "toxic int, n long, segments array<double>, positive array<double>"), "judged")
+    clean = seen.where("toxic = 0")
+    words = clean.agg(F.sum("n")).first()[0] or 0
+    hits = clean.select(F.explode("positive").alias("score")).groupBy("score").count().collect()  # a row a lexicon entry at most
+    positive, times = np.asarray([r["score"] for r in hits]), np.asarray([r["count"] for r in hits])
+    best = clean.select("n", F.coalesce(F.array_max("segments"), F.lit(0.0)).alias("best")).toArrow()  # per_class rows of two numbers
+    model.calibrate(words, positive, times, best.column("best").to_numpy(), best.column("n").to_numpy())
+
+    def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = [model.features([(s, 0, 0) for s in found], n) for found, n in zip(batch.column("segments").to_pylist(), batch.column("n").to_pylist(), strict=True)]
+            columns = [pa.array([float(f[i]) for f in x], pa.float64()) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), *columns], ["toxic", "x0", "x1", "x2"])
+
+    told = seen.select("toxic", "n", "segments").mapInArrow(described, "toxic int, x0 double, x1 double, x2 double").toArrow()  # 2 * per_class rows of four numbers
+    x = np.column_stack([told.column(f"x{i}").to_numpy() for i in range(3)])
+    y = told.column("toxic").to_numpy().astype(np.float64)
     model.weights = _logistic(x, y, np.ones(len(y)))
+    release(told_texts, seen)
     return model
 
 
