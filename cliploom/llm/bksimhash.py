@@ -42,10 +42,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, chunks, small_batches, written
+from .common import broadcast_if_small, chunks, fresh, release, small_batches, written
 from .components import components
 from .fragments import NO_ID, keyed, total_bytes
-from .prefixes import Order, candidates, frequent
+from .prefixes import Order, bitmap, candidates, frequent, plausible
 
 RADIUS, BLOCKS, BLOCK_BITS, SEED = 3, 4, 16, 42
 #: Fingerprints of a shard that the number of leading bits aims at.
@@ -240,22 +240,7 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
     small_batches(docs.sparkSession)
     share, width = expected_share(similarity), 64 * WIDE
     radius = int(width * share + 2 * math.sqrt(width * share * (1 - share)))
-    own = keyed(docs)
-    ordered = Order(frequent(own, total_bytes(own), lambda raw: np.unique(shingle_hashes(raw, words))))
-
-    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
-            sets = [np.unique(shingle_hashes(t.encode(), words)) for t in batch.column("text").to_pylist()]
-            columns = [
-                pa.array([wide_fingerprint(x) for x in sets], pa.binary()),
-                pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary()),
-                pa.array([len(x) for x in sets], pa.int32()),
-                pa.array([ordered.prefix(x, similarity).tobytes() for x in sets], pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["key", "fp", "same", "size", "prefix"])
-
-    found = own.mapInArrow(marked, "key long, fp binary, same binary, size int, prefix binary")
-    nodes = written(found.groupBy("fp", "same").agg(F.min("key").alias("least"), F.first("size").alias("size"), F.first("prefix").alias("prefix")).drop("same"), "wide")
+    nodes = written(_sets(docs, words, similarity), "wide")
     n = nodes.count()
     bits, times = draws(n, share)
     chosen = np.stack([np.random.default_rng([SEED, i]).permutation(width)[:bits] for i in range(times)])
@@ -267,32 +252,60 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
             ones = np.unpackbits(codes, axis=1, bitorder="little").astype(np.int64)
             for i, at in enumerate(chosen):
                 key = (np.int64(i) << 32) | (ones[:, at] << np.arange(bits)).sum(axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(key), batch.column("least"), batch.column("fp")], ["drawn", "least", "fp"])
+                yield pa.RecordBatch.from_arrays([pa.array(key), batch.column("node"), batch.column("fp")], ["drawn", "node", "fp"])
 
     def linked(key: tuple, found: pa.Table) -> pa.Table:
-        drawn, least = found.column("drawn").to_numpy(), found.column("least").to_numpy()
+        drawn, node = found.column("drawn").to_numpy(), found.column("node").to_numpy()
         codes = np.frombuffer(b"".join(found.column("fp").to_pylist()), np.uint64).reshape(-1, WIDE)
-        order = np.lexsort((least, drawn))
+        order = np.lexsort((node, drawn))
         edges = np.append(np.flatnonzero(np.append(True, np.diff(drawn[order]) != 0)), len(order))
         low, high = [], []
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             if b - a > 1:
                 of = order[a:b]
                 i, j = Links(codes[of], radius).candidates()
-                low.append(least[of[i]])
-                high.append(least[of[j]])
+                low.append(node[of[i]])
+                high.append(node[of[j]])
         return pa.table([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in (low, high)], ["u", "v"])
 
-    spread = nodes.select("least", "fp").mapInArrow(dealt, "drawn long, least long, fp binary").withColumn("shard", F.pmod(F.xxhash64("drawn"), F.lit(shards)))
-    pairs = spread.groupBy("shard").applyInArrow(linked, "u long, v long").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    sure = written(alike(docs, written(pairs, "pairs"), words, similarity), "sure")
-    grouped = _topped(nodes.select("least", "size", "prefix"), components(sure)).select(F.col("least").alias("node"), F.col("component_id").alias("grouped"), "size", "prefix")
-    rest = written(candidates(written(grouped, "grouped"), similarity), "rest")
-    return _topped(nodes.select("least"), components(sure.union(alike(docs, rest, words, similarity))))
+    spread = nodes.select("node", "fp").mapInArrow(dealt, "drawn long, node long, fp binary")
+    spread = spread.withColumn("shard", F.pmod(F.xxhash64("drawn"), F.lit(shards)))
+    near = spread.groupBy("shard").applyInArrow(linked, "u long, v long").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    pairs = written(plausible(near, nodes, similarity), "pairs")
+    sure = written(alike(docs, pairs, words, similarity), "sure")
+    grouped = written(_topped(nodes, components(sure)).withColumnRenamed("component_id", "grouped"), "grouped")
+    rest = written(plausible(candidates(grouped, similarity), grouped, similarity), "rest")
+    more = written(alike(docs, rest, words, similarity), "more")
+    out = _topped(nodes.select("node"), components(sure.union(more))).withColumnRenamed("node", "least")
+    release(pairs, rest, grouped)
+    return out
+
+
+def _sets(docs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """A node for each distinct set of shingles: the smallest doc_id that has it, its
+    wide fingerprint, size, prefix and bitmap."""
+    own = keyed(docs)
+    ordered = Order(frequent(own, total_bytes(own), lambda raw: np.unique(shingle_hashes(raw, words))))
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            sets = [np.unique(shingle_hashes(t.encode(), words)) for t in batch.column("text").to_pylist()]
+            columns = [
+                pa.array([wide_fingerprint(x) for x in sets], pa.binary()),
+                pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary()),
+                pa.array([len(x) for x in sets], pa.int32()),
+                pa.array([ordered.prefix(x, similarity).tobytes() for x in sets], pa.binary()),
+                pa.array([bitmap(x) for x in sets], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["key", "fp", "same", "size", "prefix", "bitmap"])
+
+    found = own.mapInArrow(marked, "key long, fp binary, same binary, size int, prefix binary, bitmap binary")
+    firsts = (F.first(c).alias(c) for c in ("size", "prefix", "bitmap"))
+    return found.groupBy("fp", "same").agg(F.min("key").alias("node"), *firsts).drop("same")
 
 
 def _topped(nodes: DataFrame, up: DataFrame) -> DataFrame:
-    return nodes.join(up, nodes["least"] == up["u"], "left").withColumn("component_id", F.coalesce("v", "least")).drop("u", "v")
+    return nodes.join(up, nodes["node"] == up["u"], "left").withColumn("component_id", F.coalesce("v", "node")).drop("u", "v")
 
 
 def jaccard(a: bytes, b: bytes, words: int) -> float:
@@ -318,6 +331,11 @@ def alike(docs: DataFrame, pairs: DataFrame, words: int, similarity: float) -> D
 
 
 def dedup(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The documents with the smallest doc_id of each group, unchanged."""
-    keep = similar_groups(docs, words, similarity).where("least = component_id").select(F.col("least").alias("__keep"))
-    return docs.join(keep, F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)) == F.col("__keep"), "left_semi")
+    """The documents with the smallest doc_id of each group, unchanged. Few ids go as a
+    rule, so they are what is sent to the documents, which then need not move."""
+    least = similar_groups(docs, words, similarity).where("least = component_id").select("least")
+    name = fresh(docs, "gone")
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    ids = docs.select(key.alias("key")).distinct()
+    gone = broadcast_if_small(ids.join(least, F.col("key") == F.col("least"), "left_anti").select(F.col("key").alias(name)))
+    return docs.join(gone, key == F.col(name), "left_anti")

@@ -12,18 +12,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import release, written
 
 
-def _tied(edges: DataFrame, directed: bool) -> DataFrame:
-    """Small star of edges u > v, or large star of edges both ways."""
+def _tied(edges: DataFrame, directed: bool) -> tuple[DataFrame, DataFrame]:
+    """Small star of edges u > v, or large star of edges both ways; and the minima,
+    which the star reads until it is written."""
     least = written(edges.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "least")
     both = edges.join(least, "u")
     if directed:
-        out = both.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
+        own = least.select("u", F.col("m").alias("v"))
+        out = both.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(own)
     else:
         out = both.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return out.where("u <> v").distinct()
+    return out.where("u <> v").distinct(), least
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -32,8 +34,10 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     held = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     said = None
     for _ in range(most_rounds):
-        large = _tied(held.union(held.select(F.col("v").alias("u"), F.col("u").alias("v"))), False)
-        held = written(_tied(large, True), "star")
+        large, minima = _tied(held.union(held.select(F.col("v").alias("u"), F.col("u").alias("v"))), False)
+        star, others = _tied(large, True)
+        before, held = held, written(star, "star")
+        release(before, minima, others)
         now = tuple(held.select(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == said:
             return held
