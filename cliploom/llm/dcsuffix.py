@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .fragments import MIX, Texts, finish, keyed, repeated_windows
+from .fragments import MIX, Texts, finish, keyed, repeated_windows, total_bytes
 
 LENGTH, GRAM = 100, 16
 #: Bytes whose suffixes are sorted together, unless one minimiser has more.
@@ -171,6 +171,7 @@ def kept_bytes(docs: DataFrame, texts: bool = False) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and
     kept (the bytes that stay) if `texts`."""
     found = keyed(docs)
+    total = total_bytes(found)
 
     def one(raw: bytes, stretches: list[tuple[int, int]]) -> tuple:
         parts, at = [], 0
@@ -181,4 +182,5 @@ def kept_bytes(docs: DataFrame, texts: bool = False) -> DataFrame:
         return (len(raw), len(raw) - len(kept), len(stretches), hashlib.sha256(kept).hexdigest(), *([kept] if texts else ()))
 
     schema = [("n_bytes", pa.int64(), "long"), ("n_removed", pa.int64(), "long"), ("n_spans", pa.int64(), "long"), ("kept_sha256", pa.string(), "string"), ("kept", pa.binary(), "binary")]
-    return finish(found, repeated_windows(found, LENGTH, GRAM, read_bytes, adjacent_prefixes), one, LENGTH, schema if texts else schema[:4])
+    runs = repeated_windows(found, total, LENGTH, GRAM, read_bytes, adjacent_prefixes)
+    return finish(found, total, runs, one, LENGTH, schema if texts else schema[:4])

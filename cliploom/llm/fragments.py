@@ -172,12 +172,11 @@ def digests(texts: Texts, first: np.ndarray, sizes: np.ndarray, k: int) -> tuple
     return windows, [xxhash.xxh3_128_digest(texts.raw[a:b]) for a, b in zip(low.tolist(), high.tolist(), strict=True)]
 
 
-def repeated_windows(docs: DataFrame, k: int, m: int, read: Callable[[list[bytes]], Texts], compare: Callable) -> DataFrame:
+def repeated_windows(docs: DataFrame, total: int, k: int, m: int, read: Callable[[list[bytes]], Texts], compare: Callable) -> DataFrame:
     """Runs of windows that also start earlier: doc_id, first, last (both windows
-    included). `docs`: doc_id (never null) and text. `compare` gets a bucket's
-    distinct fragments that share a minimiser with another."""
+    included). `docs`: doc_id (never null) and text, `total` bytes of it. `compare`
+    gets a bucket's distinct fragments that share a minimiser with another."""
     small_batches(docs.sparkSession)
-    total = total_bytes(docs)
     buckets = max(8, int(total * (1 + 2 * (k - 1) / (k - m + 2)) / BUCKET_BYTES))
     hot = hot_minimisers(docs, total, k, m, read)
 
@@ -358,10 +357,17 @@ def settle(packs: list[bytes], compare: Callable) -> tuple[np.ndarray, np.ndarra
 FINISH_BYTES = 16 << 20
 
 
-def finish(docs: DataFrame, runs: DataFrame, one: Callable[[bytes, list[tuple[int, int]]], tuple], k: int, schema: list[tuple[str, pa.DataType, str]]) -> DataFrame:
+def finish(
+    docs: DataFrame,
+    total: int,
+    runs: DataFrame,
+    one: Callable[[bytes, list[tuple[int, int]]], tuple],
+    k: int,
+    schema: list[tuple[str, pa.DataType, str]],
+) -> DataFrame:
     """key and one(text, stretches of symbols that repeated windows cover) for every
     document. Texts travel packed and compressed, a block for each group of ids."""
-    groups = max(8, total_bytes(docs) // FINISH_BYTES)
+    groups = max(8, total // FINISH_BYTES)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = zstandard.ZstdCompressor(level=3)

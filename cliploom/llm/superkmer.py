@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .fragments import MIX, Texts, finish, keyed, repeated_windows
+from .fragments import MIX, Texts, finish, keyed, repeated_windows, total_bytes
 
 WORDS, GRAM = 20, 3
 _BASE = np.uint64(0x5851F42D4C957F2D)
@@ -75,6 +75,7 @@ def kept_words(docs: DataFrame, texts: bool = True) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256, and kept (the
     words that stay) if `texts`."""
     found = keyed(docs)
+    total = total_bytes(found)
 
     def one(raw: bytes, stretches: list[tuple[int, int]]) -> tuple:
         words = raw.split()
@@ -85,4 +86,5 @@ def kept_words(docs: DataFrame, texts: bool = True) -> DataFrame:
         return (n, n - len(words), hashlib.sha256(kept).hexdigest(), *([kept.decode()] if texts else ()))
 
     schema = [("n_words", pa.int64(), "long"), ("n_removed", pa.int64(), "long"), ("kept_sha256", pa.string(), "string"), ("kept", pa.string(), "string")]
-    return finish(found, repeated_windows(found, WORDS, GRAM, read_words, sort_windows), one, WORDS, schema if texts else schema[:3])
+    runs = repeated_windows(found, total, WORDS, GRAM, read_words, sort_windows)
+    return finish(found, total, runs, one, WORDS, schema if texts else schema[:3])
