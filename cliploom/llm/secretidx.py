@@ -11,15 +11,14 @@ Segments need no exchange of rows between tasks, and any can be rebuilt alone.
 
 Defined results: null and empty texts have no spans (the digest is that of the
 empty string); matches of different kinds may overlap, those of one kind don't;
-spans count code points.
+spans count code points. Rows that repeat a doc_id, or have none, are scanned each.
+Scans read doc_id and text alone; redact() passes all columns on, whatever their name.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-import re._constants as sre
-import re._parser as sre_parser
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -82,62 +81,135 @@ def _trigrams(text: str) -> tuple:
     return _and([("tri", text[i : i + 3]) for i in range(len(text) - 2)])
 
 
+class Syntax:
+    """A pattern as a tree: ("char", its possible characters or None), ("cat", parts),
+    ("alt", sides), ("rep", fewest, part). What it doesn't know raises ValueError."""
+
+    def __init__(self, pattern: str):
+        self.rest = list(reversed(pattern))
+        self.tree = self._sides()
+        if self.rest:
+            raise ValueError(f"unbalanced: {pattern}")
+
+    def _sides(self) -> tuple:
+        sides = [self._parts()]
+        while self.rest and self.rest[-1] == "|":
+            self.rest.pop()
+            sides.append(self._parts())
+        return sides[0] if len(sides) == 1 else ("alt", sides)
+
+    def _parts(self) -> tuple:
+        parts = []
+        while self.rest and self.rest[-1] not in "|)":
+            parts.append(self._repeated(self._one()))
+        return ("cat", parts)
+
+    def _repeated(self, part: tuple) -> tuple:
+        while self.rest and self.rest[-1] in "?*+{":
+            sign = self.rest.pop()
+            if sign == "{":
+                low, _, high = self._until("}").partition(",")
+                part = part if low == "1" and high == "" and not _ else ("rep", int(low), part)
+            elif sign == "?" and part[0] == "rep":
+                continue  # as few as possible: the same strings
+            else:
+                part = ("opt", part) if sign == "?" else ("rep", int(sign == "+"), part)
+        return part
+
+    def _until(self, end: str) -> str:
+        out = []
+        while (c := self.rest.pop()) != end:
+            out.append(c)
+        return "".join(out)
+
+    def _escaped(self) -> str | None:
+        """A character, or None for a class of many."""
+        c = self.rest.pop()
+        if c == "x":
+            return chr(int(self.rest.pop() + self.rest.pop(), 16))
+        return None if c in "dDwWsS" else {"n": "\n", "t": "\t", "r": "\r"}.get(c, c)
+
+    def _one(self) -> tuple:
+        c = self.rest.pop()
+        if c == "(":
+            if self.rest[-1] == "?":
+                self.rest.pop()
+                if self.rest.pop() != ":":
+                    raise ValueError("only plain groups")
+            inner = self._sides()
+            if not self.rest or self.rest.pop() != ")":
+                raise ValueError("unbalanced group")
+            return inner
+        if c == "[":
+            return ("char", self._set())
+        if c == "\\":
+            if self.rest[-1] in "bBAZ0123456789":
+                raise ValueError("no anchors or references")
+            found = self._escaped()
+            return ("char", None if found is None else {found})
+        if c in "^$":
+            raise ValueError("no anchors or references")
+        return ("char", None if c == "." else {c})
+
+    def _set(self) -> set[str] | None:
+        """Characters of a set; None if it is negated or has ranges or classes."""
+        many = self.rest[-1] == "^"
+        found = set()
+        first = True
+        while first or self.rest[-1] != "]":
+            c = self.rest.pop()
+            c = self._escaped() if c == "\\" else c
+            many |= c is None or c == "-" and not first and self.rest[-1] != "]"
+            found.add(c)
+            first = False
+        self.rest.pop()
+        return None if many else found
+
+
 #: Most spellings of one stretch that are kept apart; beyond it the stretch ends.
 SPELLINGS = 32
 
 
+def _explored(node: tuple) -> tuple[list[str] | None, tuple]:
+    """(all spellings if few, a query that holds in any case)."""
+    if node[0] == "char":
+        plain = node[1] is not None and all(c.isascii() for c in node[1])
+        return (sorted({c.lower() for c in node[1]}), ANY) if plain else (None, ANY)
+    if node[0] == "alt":
+        sides = [_explored(x) for x in node[1]]
+        query = _or([q if s is None else _spelled(s) for s, q in sides])
+        few = all(s is not None for s, _ in sides)
+        return [x for s, _ in sides for x in s] if few else None, query
+    if node[0] == "opt":
+        spellings, _ = _explored(node[1])
+        return None if spellings is None else ["", *spellings], ANY
+    if node[0] == "rep":
+        spellings, query = _explored(node[2])
+        return None, ANY if not node[1] else query if spellings is None else _spelled(spellings)
+    exact, found, whole = [""], [], True
+    for part in node[1]:
+        spellings, query = _explored(part)
+        if spellings is not None and len(exact) * len(spellings) <= SPELLINGS:
+            exact = list(dict.fromkeys(a + b for a in exact for b in spellings))
+            continue
+        whole = False
+        found += [_spelled(exact), query]
+        exact = spellings if spellings is not None and len(spellings) <= SPELLINGS else [""]
+    return (exact, ANY) if whole else (None, _and([*found, _spelled(exact)]))
+
+
+def _spelled(spellings: list[str]) -> tuple:
+    return _or([_trigrams(x) for x in spellings])
+
+
 def trigram_query(pattern: str) -> tuple:
-    """A Boolean query, over lower-cased ASCII trigrams, that every match meets."""
-
-    def walk(items) -> tuple[list[str] | None, tuple]:
-        """(all spellings if few, a query that holds in any case)."""
-        exact, found = [""], []
-
-        def end() -> None:
-            nonlocal exact
-            found.append(_or([_trigrams(x) for x in exact]))
-            exact = [""]
-
-        whole = True
-        for op, value in items:
-            if op is sre.LITERAL:
-                spelled = [chr(value).lower()] if value < 128 else None
-                query = ANY
-            elif op is sre.SUBPATTERN:
-                spelled, query = walk(value[3])
-            elif op is sre.BRANCH:
-                sides = [walk(x) for x in value[1]]
-                query = _or([q if s is None else _or([_trigrams(x) for x in s]) for s, q in sides])
-                spelled = [x for s, _ in sides for x in s] if all(s is not None for s, _ in sides) else None
-            elif op in (sre.MAX_REPEAT, sre.MIN_REPEAT):
-                low, high, inner = value
-                spelled, query = walk(inner)
-                if spelled is not None and high == 1 and low == 0:
-                    spelled, query = ["", *spelled], ANY
-                elif not (low == high == 1):
-                    query = query if low and spelled is None else _or([_trigrams(x) for x in spelled]) if low and spelled else ANY
-                    spelled = None
-            elif op is sre.IN and all(k is sre.LITERAL and v < 128 for k, v in value):
-                spelled, query = list(dict.fromkeys(chr(v).lower() for _, v in value)), ANY
-            elif op is sre.AT:
-                spelled, query = [""], ANY
-            else:
-                spelled, query = None, ANY
-            if spelled is not None and len(exact) * len(spelled) <= SPELLINGS:
-                exact = list(dict.fromkeys(a + b for a in exact for b in spelled))
-            else:
-                whole = False
-                end()
-                found.append(query)
-                if spelled is not None:
-                    exact = spelled if len(spelled) <= SPELLINGS else [""]
-        if whole:
-            return exact, ANY
-        end()
-        return None, _and(found)
-
-    spelled, query = walk(sre_parser.parse(pattern))
-    return query if spelled is None else _or([_trigrams(x) for x in spelled])
+    """A Boolean query, over lower-cased ASCII trigrams, that every match meets; ANY for
+    a pattern with syntax beyond Syntax, whose rule then scans every text."""
+    try:
+        spellings, query = _explored(Syntax(pattern).tree)
+    except (ValueError, IndexError):
+        return ANY
+    return query if spellings is None else _spelled(spellings)
 
 
 def needed(query: tuple) -> set[str]:
