@@ -81,6 +81,16 @@ def frames(a: Column, size: int, hop: int) -> Column:
     return F.when(F.size(a) >= size, F.transform(F.sequence(F.lit(0), n), lambda i: F.slice(a, i * hop + 1, F.lit(size)))).otherwise(F.array().cast("array<array<double>>"))
 
 
+def noise_floor(a: Column, rate: int, seconds: float = 0.20, p: float = 0.20, least: float = 1e-6) -> Column:
+    """A low percentile of the levels of whole stretches side by side, of those that
+    begin before the last whole one could (the first always); `least` where there is none."""
+    size = max(1, int(seconds * rate))
+    last = F.greatest(F.lit(0), F.ceil(F.greatest(F.lit(1), F.size(a) - size) / size).cast("int") - 1)
+    stretches = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(a, i * size + 1, F.lit(size)))
+    levels = F.transform(stretches, rms)
+    return F.when(F.size(a) >= size, F.greatest(percentile(levels, p), F.lit(least))).otherwise(F.lit(least))
+
+
 def rms(a: Column) -> Column:
     return F.sqrt(F.coalesce(mean(F.transform(a, lambda x: x * x)), F.lit(0.0)) + F.lit(1e-12))
 
@@ -110,6 +120,13 @@ def speech_mask(a: Column, rate: int, frame_ms: float, least: float) -> Column:
     return F.when(F.size(a) < size, F.transform(a, lambda x: F.lit(True))).otherwise(every)
 
 
+def stretch(a: Column, rate: int, start: Column, end: Column) -> Column:
+    """The samples between two times, whole samples by truncation; none of an empty span."""
+    first = F.greatest(F.lit(0), (start * rate).cast("int"))
+    upto = F.least(F.size(a), (end * rate).cast("int"))
+    return F.when(upto > first, F.slice(a, first + 1, upto - first)).otherwise(F.slice(a, 1, 0))
+
+
 def snr_db(a: Column, mask: Column) -> Column:
     """-99 without speech, 30 where all is speech."""
     both = F.zip_with(a, mask, lambda x, m: F.struct(x.alias("x"), m.alias("m")))

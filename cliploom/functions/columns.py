@@ -76,13 +76,37 @@ def padded(c: Column | str, n: int) -> Column:
     return F.lpad(_c(c).cast("string"), n, "0")
 
 
+def given(c: Column | str) -> Column:
+    """Trimmed text; null where it is blank."""
+    text = F.trim(_c(c).cast("string"))
+    return F.when(text != "", text)
+
+
 def canonical_path(speaker: Column | str, video: Column | str, utterance: Column | str, *paths: Column | str) -> Column:
-    """The first path that is given, cut after a `/dev/wav/` folder, else
-    speaker/video/utterance; always ending in .wav."""
-    built = F.concat_ws("/", _c(speaker), _c(video), _c(utterance))
-    chosen = F.coalesce(*(F.when(F.trim(_c(p)) != "", F.regexp_replace(F.trim(_c(p)), r"\\", "/")) for p in paths), built)
-    cut = F.when(chosen.contains("/dev/wav/"), F.substring_index(chosen, "/dev/wav/", -1)).otherwise(chosen)
-    return F.when(F.lower(cut).endswith(".wav"), cut).otherwise(F.concat(cut, F.lit(".wav")))
+    """wav/speaker/video/utterance.wav; without an utterance the first path that leads
+    below a wav folder of dev, cut there; an error where there is none."""
+    name = given(utterance)
+    own = F.when(name.endswith(".wav"), name).otherwise(F.concat(name, F.lit(".wav")))
+    built = F.concat_ws("/", F.lit("wav"), F.trim(_c(speaker).cast("string")), F.trim(_c(video).cast("string")), own)
+    cut = []
+    for p in paths:
+        text = F.replace(given(p), F.lit("\\"), F.lit("/"))
+        below = F.concat(F.lit("wav/"), F.regexp_extract(text, r"^.*?/dev/wav/(.*)$", 1))
+        cut.append(F.when(text.contains("/dev/wav/"), below).when(text.startswith("dev/wav/"), F.substring(text, 5, 1 << 30)).when(text.startswith("wav/"), text))
+    none = F.raise_error(F.lit("no path of an utterance, and none below a wav folder")).cast("string")
+    return F.when(name.isNotNull(), built).otherwise(F.coalesce(*cut, none))
+
+
+def relative_path(path: Column | str, root: str) -> Column:
+    """Below `root` without it, elsewhere whole; with forward slashes."""
+    whole = F.replace(_c(path), F.lit("\\"), F.lit("/"))
+    top = root.rstrip("/") + "/"
+    return F.when(whole.startswith(top), F.substring(whole, len(top) + 1, 1 << 30)).otherwise(whole)
+
+
+def run_tag(now: Column, prefix: str = "coverage") -> Column:
+    """A name for what one run makes: prefix and the time to the second."""
+    return F.concat_ws("_", F.lit(prefix), F.date_format(now, "yyyyMMddHHmmss"))
 
 
 def temporal_iou(a0, a1, b0, b1) -> Column:
@@ -100,20 +124,55 @@ def bbox_iou(a: Column, b: Column) -> Column:
     return both / (area(a) + area(b) - both + F.lit(1e-6))
 
 
-def crop_box(box: Column, margin: float, width: float, height: float, least: float = 32.0) -> Column:
-    """A square around the box with a margin, within the frame; null if small."""
-    w, h = box["x2"] - box["x1"], box["y2"] - box["y1"]
-    half = F.greatest(w, h) * (1 + 2 * margin) / 2
-    cx, cy = (box["x1"] + box["x2"]) / 2, (box["y1"] + box["y2"]) / 2
-    x1, y1 = F.greatest(F.lit(0.0), cx - half), F.greatest(F.lit(0.0), cy - half)
-    x2, y2 = F.least(F.lit(width), cx + half), F.least(F.lit(height), cy + half)
-    return F.when((x2 - x1 >= least) & (y2 - y1 >= least), F.struct(x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2")))
+CORNERS = ("x1", "y1", "x2", "y2")
+
+
+def box_of(*corners: Column) -> Column:
+    return F.struct(*(c.alias(n) for n, c in zip(CORNERS, corners, strict=True)))
+
+
+def crop_box(box: Column, margin: float, width: float, height: float, least: int = 32) -> Column:
+    """A square around the box with a margin, whole pixels (half to even) within the
+    frame; null if the box is none or the crop is small."""
+    x1, y1, x2, y2 = (box[c].cast("double") for c in CORNERS)
+    half = F.greatest(x2 - x1, y2 - y1) * (1 + 2 * margin) / 2
+    cx, cy = (x1 + x2) / 2, (y1 + y2) / 2
+    whole = lambda c: F.bround(c, 0).cast("int")
+    a, b = F.greatest(F.lit(0), whole(cx - half)), F.greatest(F.lit(0), whole(cy - half))
+    c, d = F.least(F.lit(int(width)), whole(cx + half)), F.least(F.lit(int(height)), whole(cy + half))
+    return F.when((x2 > x1) & (y2 > y1) & (c - a >= least) & (d - b >= least), box_of(a, b, c, d))
+
+
+def face_crop(box: Column, width: int, height: int, margin: float = 0.3) -> Column:
+    """The box with a margin of its width and height, whole pixels within the frame."""
+    x1, y1, x2, y2 = (box[c].cast("int") for c in CORNERS)
+    mw, mh = ((x2 - x1) * margin).cast("int"), ((y2 - y1) * margin).cast("int")
+    a, b = F.greatest(F.lit(0), x1 - mw), F.greatest(F.lit(0), y1 - mh)
+    c, d = F.least(F.lit(width), x2 + mw), F.least(F.lit(height), y2 + mh)
+    return F.when((c > a) & (d > b), box_of(a, b, c, d))
+
+
+def mouth_box(box: Column, width: int, height: int, margin: float = 0.35) -> Column:
+    """The lower middle of a face: from 0.20 to 0.80 of its width and from 0.55 to 0.92
+    of its height, with a margin, whole pixels within the frame; null if it is empty."""
+    x1, y1 = (F.greatest(F.lit(0), box[c].cast("int")) for c in ("x1", "y1"))
+    x2, y2 = F.least(F.lit(width - 1), box["x2"].cast("int")), F.least(F.lit(height - 1), box["y2"].cast("int"))
+    part = lambda share, size: (F.lit(share) * size).cast("int")
+    w, h = x2 - x1, y2 - y1
+    left, right, top, low = x1 + part(0.20, w), x2 - part(0.20, w), y1 + part(0.55, h), y1 + part(0.92, h)
+    mw, mh = part(margin, right - left), part(margin, low - top)
+    a, b = F.greatest(F.lit(0), left - mw), F.greatest(F.lit(0), top - mh)
+    c, d = F.least(F.lit(width), right + mw), F.least(F.lit(height), low + mh)
+    return F.when((x2 > x1) & (y2 > y1) & (c > a) & (d > b), box_of(a, b, c, d))
 
 
 def corner_box(box: Column) -> Column:
-    """x, y, width, height where the second corner lies before the first: as corners."""
-    flat = (box["x2"] <= box["x1"]) | (box["y2"] <= box["y1"])
-    return F.when(flat, F.struct(box["x1"].alias("x1"), box["y1"].alias("y1"), (box["x1"] + box["x2"]).alias("x2"), (box["y1"] + box["y2"]).alias("y2"))).otherwise(box)
+    """x, y, width, height (1 at least) where the second corner lies before the first:
+    as corners."""
+    x1, y1, x2, y2 = (box[c].cast("double") for c in CORNERS)
+    side = lambda c: F.greatest(F.lit(1.0), c)
+    repaired = box_of(x1, y1, x1 + side(x2), y1 + side(y2))
+    return F.when((x2 <= x1) | (y2 <= y1), repaired).otherwise(box_of(x1, y1, x2, y2))
 
 
 def centred(start: Column, end: Column, length: float, low: Column, high: Column) -> Column:
