@@ -18,26 +18,55 @@ def _steps(start: Column, stop: Column, hop: float) -> Column:
     return F.sequence(F.lit(0), n.cast("int") - 1)
 
 
-def video_windows(videos: DataFrame, window: float = 600.0, hop: float = 600.0, least: float = 60.0) -> DataFrame:
-    """Windows of each video (video_id, video_duration): one of the full length if
-    it fits, else each hop, without a last one shorter than `least`. An unknown
-    length counts as one window."""
-    known = videos.withColumn("video_duration", F.when(F.col("video_duration") > 0, F.col("video_duration").cast("double")).otherwise(F.lit(float(window))))
-    spread = known.withColumn("idx", F.explode(_steps(F.lit(0.0), F.col("video_duration"), hop)))
-    cut = spread.withColumn("start", F.col("idx") * F.lit(float(hop))).withColumn("duration", F.least(F.lit(float(window)), F.col("video_duration") - F.col("start")))
-    whole = F.col("video_duration") <= window
-    kept = cut.where((whole & (F.col("idx") == 0)) | (~whole & (F.col("duration") >= least)))
-    tag = F.format_string("w%04d_%06d", "idx", F.col("start").cast("long"))
-    return kept.select("video_id", "idx", "start", "duration", tag.alias("tag"), "video_duration")
-
-
-def uniform_windows(videos: DataFrame, count: int, window: float = 600.0) -> DataFrame:
-    """`count` windows with starts spread evenly over each video."""
-    span = F.greatest(F.lit(0.0), F.col("video_duration") - window)
-    n = F.when(span > 0, F.lit(count)).otherwise(1)
-    spread = videos.withColumn("idx", F.explode(F.sequence(F.lit(0), n - 1)))
-    start = F.when(n > 1, span * F.col("idx") / F.greatest(F.lit(1), n - 1)).otherwise(0.0)
-    return spread.select("video_id", "idx", start.alias("start"), F.least(F.lit(float(window)), F.col("video_duration") - start).alias("duration"))
+#: The modes in which a video stays whole, and the tags of its one window.
+WHOLE_MODES, WHOLE, SINGLE = ("off", "full", "false", "0"), "full", "w0000"
+
+
+def video_windows(
+    videos: DataFrame,
+    window: float = 600.0,
+    hop: float = 600.0,
+    least: float = 60.0,
+    begin: float = 0.0,
+    most: int = 0,
+    mode: str = "windowed",
+    strategy: str = "sliding",
+) -> DataFrame:
+    """Windows of each video (video_id, video_duration): one of the full length if it
+    fits or the mode says so, else each hop from `begin`, without a last one shorter
+    than `least`, at most `most` (0: all); with the strategy uniform `most` windows
+    spread evenly. An unknown length counts as one window."""
+    known = F.when(F.col("video_duration") > 0, F.col("video_duration").cast("double")).otherwise(F.lit(float(window)))
+    videos = videos.withColumn("video_duration", known)
+    length = F.col("video_duration")
+    columns = ("video_id", "idx", "start", "duration", "tag", "video_duration")
+    whole = F.lit(True) if mode.lower() in WHOLE_MODES else length <= window
+    tag = F.lit(WHOLE if mode.lower() in WHOLE_MODES else SINGLE)
+    single = videos.where(whole).select("*", F.lit(0).alias("idx"), F.lit(0.0).alias("start"), length.alias("duration"), tag.alias("tag"))
+    rest = videos.where(~whole)
+    if most > 0 and strategy.lower() == "uniform":
+        cut = uniform_windows(rest, most, window, begin, least)
+    else:
+        spread = rest.withColumn("idx", F.explode(_steps(F.lit(max(0.0, float(begin))), length, hop)))
+        at = F.lit(max(0.0, float(begin))) + F.col("idx") * F.lit(float(hop))
+        cut = spread.withColumn("start", at).withColumn("duration", F.least(F.lit(float(window)), length - F.col("start")))
+        cut = cut.where((F.col("start") < length) & (length - F.col("start") >= least))
+        cut = cut.where(F.col("idx") < most) if most > 0 else cut
+    tagged = cut.withColumn("tag", F.format_string("w%04d_%06d", "idx", F.col("start").cast("long")))
+    return single.select(*columns).unionByName(tagged.select(*columns))
+
+
+def uniform_windows(videos: DataFrame, count: int, window: float = 600.0, begin: float = 0.0, least: float = 60.0) -> DataFrame:
+    """`count` windows with starts spread evenly over each video, from `begin` to the
+    last that fits."""
+    length = F.col("video_duration")
+    span = F.greatest(F.lit(0.0), length - window)
+    first = F.least(F.lit(max(0.0, float(begin))), span)
+    spread = videos.withColumn("idx", F.explode(F.sequence(F.lit(0), F.lit(count - 1))))
+    even = first + (F.greatest(first, span) - first) * F.col("idx") / max(1, count - 1) if count > 1 else first
+    start = F.greatest(F.lit(0.0), F.least(even, F.greatest(F.lit(0.0), length - least)))
+    cut = spread.withColumn("start", start)
+    return cut.withColumn("duration", F.least(F.lit(float(window)), F.greatest(F.lit(float(least)), length - F.col("start"))))
 
 
 def stratified_order(n: int) -> list[int]:
@@ -167,17 +196,35 @@ def nearest(left: DataFrame, right: DataFrame, by: list[str], at: str, value: st
     return found.select("__l.*", F.when(gap <= most, F.when(before, F.col("__p.v")).otherwise(F.col("__n.v"))).alias(value), F.when(gap <= most, gap).alias("gap"))
 
 
-def interpolated(left: DataFrame, right: DataFrame, by: list[str], at: str, value: str, beyond: float) -> DataFrame:
-    """left with the right value interpolated at its time; the first and last hold
-    for `beyond` outside of them, then null."""
-    both = left.select(*by, F.col(at).cast("double").alias("__t"), F.struct(*left.columns).alias("__l"), F.lit(None).cast("double").alias("__v"))
-    both = both.unionByName(right.select(*by, F.col(at).cast("double").alias("__t"), F.lit(None).cast(both.schema["__l"].dataType).alias("__l"), F.col(value).cast("double").alias("__v")))
+def interpolated(left: DataFrame, right: DataFrame, by: list[str], at: str, value: str | list[str], beyond: float) -> DataFrame:
+    """left with the right value (or values) interpolated at its time; the first and last
+    hold for `beyond` outside of them, then null. One sort of both, no join."""
+    values = [value] if isinstance(value, str) else value
+    said = F.array(*(F.col(v).cast("double") for v in values))
+    nothing = F.lit(None).cast("array<double>")
+    both = left.select(*by, F.col(at).cast("double").alias("__t"), F.struct(*left.columns).alias("__l"), nothing.alias("__v"))
+    none = F.lit(None).cast(both.schema["__l"].dataType).alias("__l")
+    both = both.unionByName(right.where(F.col(values[0]).isNotNull()).select(*by, F.col(at).cast("double").alias("__t"), none, said.alias("__v")))
     pair = F.when(F.col("__v").isNotNull(), F.struct(F.col("__t").alias("t"), F.col("__v").alias("v")))
     order = Window.partitionBy(*by).orderBy("__t", F.col("__v").isNull())
     prior = F.last(pair, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
     after = F.first(pair, ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
     found = both.select("*", prior.alias("__p"), after.alias("__n")).where("__l is not null")
     p, n, t = F.col("__p"), F.col("__n"), F.col("__t")
-    between = F.when(n["t"] > p["t"], p["v"] + (n["v"] - p["v"]) * (t - p["t"]) / (n["t"] - p["t"])).otherwise(p["v"])
-    value_at = F.when(p.isNotNull() & n.isNotNull(), between).when(p.isNull() & (n["t"] - t <= beyond), n["v"]).when(n.isNull() & (t - p["t"] <= beyond), p["v"])
-    return found.select("__l.*", value_at.alias(value))
+
+    def one(i: int) -> Column:
+        share = (t - p["t"]) / (n["t"] - p["t"])
+        between = F.when(n["t"] > p["t"], p["v"][i] + (n["v"][i] - p["v"][i]) * share).otherwise(p["v"][i])
+        inside = F.when(p.isNotNull() & n.isNotNull(), between)
+        return inside.when(p.isNull() & (n["t"] - t <= beyond), n["v"][i]).when(n.isNull() & (t - p["t"] <= beyond), p["v"][i])
+
+    return found.select("__l.*", *(one(i).alias(v) for i, v in enumerate(values)))
+
+
+def differences(df: DataFrame, by: list[str], at: str, value: str, scale: float = 255.0) -> DataFrame:
+    """df with `difference`, the mean absolute change of an array (a region's pixels)
+    from the row before, over `scale`; null in a group's first row."""
+    before = F.lag(value).over(Window.partitionBy(*by).orderBy(at))
+    change = F.zip_with(F.col(value).cast("array<double>"), before.cast("array<double>"), lambda x, y: F.abs(x - y))
+    mean = F.aggregate(change, F.lit(0.0), lambda a, x: a + x) / F.greatest(F.lit(1), F.size(value))
+    return df.withColumn("difference", F.when(before.isNotNull(), mean / scale))

@@ -52,6 +52,23 @@ def to_windows(found: DataFrame, s: Settings) -> DataFrame:
     return suppress(ordered, ["track_id"], s.candidate_nms_iou, s.max_candidates_per_video)
 
 
+def in_time(found: DataFrame) -> DataFrame:
+    """Segments by their start, the surer first."""
+    return found.orderBy("start", F.desc("confidence"))
+
+
+def detected_only(tracks: DataFrame, least: float, seconds: float) -> DataFrame:
+    """tracks with the confidence that detection alone gives, 0.49 at most, and whether
+    that and their duration are enough."""
+    confidence = F.least(F.coalesce("avg_det_score", F.lit(0.0)), F.lit(0.49))
+    return tracks.withColumn("active_conf", confidence).withColumn("active", (confidence >= least) & (F.col("duration") >= seconds))
+
+
+def known_active(tracks: DataFrame, least: float) -> DataFrame:
+    """Tracks of a known speaker whose activity (0 where it is unknown) is enough."""
+    return tracks.where((F.col("speaker_id") != "unknown") & (F.coalesce("active_conf", F.lit(0.0)) >= least))
+
+
 def active_tracks(tracks: DataFrame, windows: DataFrame, least: float, det_score: float) -> DataFrame:
     """Tracks with an active window; where none of a video's tracks has one, those
     detected well enough."""

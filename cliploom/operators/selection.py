@@ -2,10 +2,10 @@
 
 The full form is a loop over ranked rows whose acceptance depends on what was
 accepted: a reserve pass for each video, a capped fill and an uncapped overflow.
-It runs once a speaker, in Python over Arrow, on rows already cut to the few that
-can matter: never more than what lies before the quota is met can be reached, and
-eligible rows of one speaker number thousands. quota_simple is the form without
-overlaps and hashes, in window functions alone.
+It runs once a speaker, in Python over Arrow. Of rows with one hash in one video and
+the very same interval only the best can ever be taken, so the others are cut before,
+by a window function; what is left of a speaker meets in one task. quota_simple is the
+form without overlaps and hashes, in window functions alone.
 """
 
 from __future__ import annotations
@@ -90,24 +90,53 @@ def pick(rows: pd.DataFrame, processed: list[str], target: int, cap: int, least:
     return p.taken
 
 
-def select_balanced(df: DataFrame, processed: DataFrame | None = None, target: int = 50, cap: int = 20, least: int = 5, most_iou: float = 0.05, overflow: bool = True) -> DataFrame:
+def reachable(df: DataFrame) -> DataFrame:
+    """Without rows that a better one of the same speaker, video, hash and interval
+    makes impossible: the hash bars them whenever that one is taken, and whatever bars
+    that one (quota, cap, hash or overlap) bars them too."""
+    same = Window.partitionBy("speaker_id", "video_id", "digest", "start", "end").orderBy("position")
+    return df.withColumn("__n", F.row_number().over(same)).where("__n = 1").drop("__n")
+
+
+def select_balanced(
+    df: DataFrame,
+    processed: DataFrame | None = None,
+    target: int = 50,
+    cap: int = 20,
+    least: int = 5,
+    most_iou: float = 0.05,
+    overflow: bool = True,
+) -> DataFrame:
     """speaker_id, row_ord and selection_rank of the selected rows. df is eligible
     rows with position, digest, start and end; processed lists (speaker_id, video_id)
     whose reserve is kept first."""
-    ready = df.select("speaker_id", "position", "row_ord", F.coalesce("video_id", F.lit("")).alias("video_id"), "digest", F.coalesce("start", F.lit(-1.0)).alias("start"), F.coalesce("end", F.lit(-1.0)).alias("end"))
-    if processed is not None:
-        videos = processed.groupBy("speaker_id").agg(F.array_sort(F.collect_set("video_id")).alias("videos"))
-        ready = ready.join(videos, "speaker_id", "left")
-    else:
-        ready = ready.withColumn("videos", F.array().cast("array<string>"))
-
-    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
+    ready = df.select(
+        "speaker_id",
+        "position",
+        "row_ord",
+        F.coalesce("video_id", F.lit("")).alias("video_id"),
+        "digest",
+        F.coalesce("start", F.lit(-1.0)).alias("start"),
+        F.coalesce("end", F.lit(-1.0)).alias("end"),
+    )
+    ready = reachable(ready)
+    schema = "speaker_id string, row_ord long, selection_rank int"
+
+    def choose(pdf: pd.DataFrame, videos: list[str]) -> pd.DataFrame:
         rows = pdf.sort_values("position").reset_index(drop=True)
-        first = rows["videos"].iloc[0]
-        order = pick(rows, list(first) if first is not None else [], target, cap, least, most_iou, overflow)
+        order = pick(rows, videos, target, cap, least, most_iou, overflow)
         return pd.DataFrame({"speaker_id": rows["speaker_id"].iloc[order], "row_ord": rows["row_ord"].iloc[order], "selection_rank": range(len(order))})
 
-    return ready.groupBy("speaker_id").applyInPandas(choose, "speaker_id string, row_ord long, selection_rank int")
+    if processed is None:
+        return ready.groupBy("speaker_id").applyInPandas(lambda pdf: choose(pdf, []), schema)
+    told = processed.where("video_id is not null").select("speaker_id", "video_id").distinct()
+
+    def with_videos(pdf: pd.DataFrame, videos: pd.DataFrame) -> pd.DataFrame:
+        if pdf.empty:
+            return pd.DataFrame({"speaker_id": [], "row_ord": [], "selection_rank": []})
+        return choose(pdf, sorted(videos["video_id"]))
+
+    return ready.groupBy("speaker_id").cogroup(told.groupBy("speaker_id")).applyInPandas(with_videos, schema)
 
 
 def with_approval(df: DataFrame, selected: DataFrame) -> DataFrame:
@@ -139,4 +168,38 @@ def early_stop(df: DataFrame, candidates: int, regions: int) -> DataFrame:
 
 
 def window_budget(remaining: Column, windows: Column) -> Column:
-    return F.when(windows > 0, F.ceil(remaining / windows)).otherwise(F.lit(0))
+    """Candidates that the next window may give: an even share of those still wanted,
+    at least one while any is."""
+    share = F.ceil(remaining / F.greatest(F.lit(1), windows)).cast("int")
+    return F.when(remaining > 0, F.greatest(F.lit(1), share)).otherwise(F.lit(0))
+
+
+def budgeted(df: DataFrame, candidates: int, regions: int) -> DataFrame:
+    """Rows (video_id, visit, n_candidates a window, and `existing` of the video, if
+    there) with `visited`, `budget` and `taken`: windows are visited in order until the
+    candidates so far suffice and enough regions were seen, and each gives its budget at
+    most (one even if that is 0, as the count is held against it after each). A fold over
+    the windows of a video, which number as many as its length allows."""
+    has = "existing" in df.columns
+    own = df.groupBy("video_id").agg(
+        F.array_sort(F.collect_list(F.struct("visit", F.col("n_candidates").cast("int").alias("n")))).alias("windows"),
+        (F.max("existing") if has else F.lit(0)).cast("int").alias("already"),
+    )
+    empty = F.lit(None).cast("array<struct<visit:int,visited:boolean,budget:int,taken:int>>")
+    zero = F.struct(F.col("already").alias("total"), F.lit(0).alias("seen"), F.coalesce(empty, F.array().cast("array<struct<visit:int,visited:boolean,budget:int,taken:int>>")).alias("rows"))
+    needed = F.least(F.lit(max(1, regions)), F.size("windows"))
+
+    def step(state: Column, w: Column) -> Column:
+        stop = (state["total"] >= candidates) & (state["seen"] >= needed)
+        budget = window_budget(F.greatest(F.lit(0), candidates - state["total"]), needed - state["seen"])
+        taken = F.when(stop, 0).otherwise(F.least(w["n"], F.greatest(F.lit(1), budget)))
+        row = F.struct(
+            w["visit"].cast("int").alias("visit"),
+            (~stop).alias("visited"),
+            F.when(stop, 0).otherwise(budget).cast("int").alias("budget"),
+            taken.cast("int").alias("taken"),
+        )
+        seen = state["seen"] + F.when(stop, 0).otherwise(1)
+        return F.struct((state["total"] + taken).cast("int").alias("total"), seen.cast("int").alias("seen"), F.concat(state["rows"], F.array(row)).alias("rows"))
+
+    return own.select("video_id", F.explode(F.aggregate("windows", zero, step)["rows"]).alias("x")).select("video_id", "x.*")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -20,23 +20,46 @@ def scoped_replace(old: DataFrame, new: DataFrame, owned: DataFrame, keys: list[
     return keep_one(both, keys, [F.desc("__new"), F.desc("row_ord")]).drop("__new")
 
 
-def keep_first_digest(candidates: DataFrame) -> DataFrame:
-    """One candidate of each (speaker, video, hash or path): the first by row_ord."""
+def keep_first_digest(candidates: DataFrame, *before: Column) -> DataFrame:
+    """One candidate of each (speaker, video, hash or path): the first by the order given,
+    then by row_ord."""
     digest = F.coalesce(F.when(F.trim("sha1") != "", F.col("sha1")), F.col("candidate_path"))
-    return keep_one(candidates.withColumn("__digest", digest), ["speaker_id", "video_id", "__digest"], [F.asc("row_ord")]).drop("__digest")
+    keys = ["speaker_id", "video_id", "__digest"]
+    return keep_one(candidates.withColumn("__digest", digest), keys, [*before, F.asc("row_ord")]).drop("__digest")
 
 
-def write_scoped(spark, path: str, new: DataFrame, owned: DataFrame, keys: list[str], scope: str = "speaker_id") -> None:
-    """Replaces the owned scopes of a Parquet table: written beside it, then
-    swapped by the file system's rename, so that readers see one or the other."""
+#: The column that names a table's part, and how many parts a table has.
+PART, PARTS = "__part", 64
+
+
+def read_scoped(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop(PART)
+
+
+def write_scoped(spark: SparkSession, path: str, new: DataFrame, owned: DataFrame, keys: list[str], scope: str = "speaker_id") -> None:
+    """Replaces the owned scopes of a Parquet table. The table is partitioned by a hash of
+    the scope; only parts that hold an owned or new scope are written again: first beside
+    the table, whole, then over the old parts. A reader in between may miss scopes of
+    those parts, never those of others; a run that broke off is simply repeated."""
     jvm = spark._jvm
-    here = jvm.org.apache.hadoop.fs.Path(path)
-    fs = here.getFileSystem(spark._jsc.hadoopConfiguration())
-    result = new if not fs.exists(here) else scoped_replace(spark.read.parquet(path), new, owned, keys, scope)
-    beside, before = f"{path}.new", jvm.org.apache.hadoop.fs.Path(f"{path}.old")
-    result.write.mode("overwrite").parquet(beside)
-    fs.delete(before, True)
-    if fs.exists(here):
-        fs.rename(here, before)
-    fs.rename(jvm.org.apache.hadoop.fs.Path(beside), here)
-    fs.delete(before, True)
+    at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    fs = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    part = F.pmod(F.xxhash64(F.col(scope).cast("string")), F.lit(PARTS)).cast("int")
+    scopes = owned.select(scope).unionByName(new.select(scope))
+    touched = [r[0] for r in scopes.select(part).distinct().collect()]  # at most PARTS
+    if not touched:
+        return
+    exists = fs.exists(at(path))
+    old = spark.read.parquet(path).where(F.col(PART).isin(touched)).drop(PART) if exists else new.limit(0)
+    result = scoped_replace(old, new, owned, keys, scope).withColumn(PART, part)
+    beside = f"{path}.new"
+    result.write.mode("overwrite").partitionBy(PART).parquet(beside)
+    left = {int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(at(beside)) if s.isDirectory()}
+    if left:
+        whole = spark.read.schema(result.schema).parquet(beside)
+        whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
+    elif not exists:
+        fs.rename(at(beside), at(path))
+    for empty in set(touched) - left:
+        fs.delete(at(f"{path}/{PART}={empty}"), True)
+    fs.delete(at(beside), True)

@@ -13,11 +13,14 @@ from pyspark.sql import functions as F
 
 
 def target_pairs(clips: DataFrame, mode: str) -> DataFrame:
-    """Unordered pairs of one speaker, path1 < path2: of one video (A) or two (B)."""
-    left = clips.select("speaker_id", F.col("video_id").alias("v1"), F.col("path").alias("path1"))
-    right = clips.select("speaker_id", F.col("video_id").alias("v2"), F.col("path").alias("path2"))
+    """Unordered pairs of one speaker, path1 < path2: of one video (A) or two (B). All
+    pairs are what is asked for, so they are as many as a speaker's clips squared; paths
+    are told once each before, so that no pair comes twice."""
+    own = clips.groupBy("speaker_id", "path").agg(F.min("video_id").alias("video_id"))
+    left = own.select("speaker_id", F.col("video_id").alias("v1"), F.col("path").alias("path1"))
+    right = own.select("speaker_id", F.col("video_id").alias("v2"), F.col("path").alias("path2"))
     met = left.join(right, "speaker_id").where(F.col("path1") < F.col("path2"))
-    return met.where(F.col("v1") == F.col("v2") if mode == "A" else F.col("v1") != F.col("v2")).select("speaker_id", "path1", "path2").distinct()
+    return met.where(F.col("v1") == F.col("v2") if mode == "A" else F.col("v1") != F.col("v2")).select("speaker_id", "path1", "path2")
 
 
 def hashed(*columns: Column | str) -> Column:
@@ -94,21 +97,42 @@ def in_pipeline(clips: DataFrame, mode: str, seed: str = "1234", most: int = 200
     targets = target_pairs(clips, mode).select(F.lit(1).alias("label"), "path1", "path2")
     n = targets.count()
     goal = min(max(4 * n, 1000 if n else 0), 20_000)
-    others = non_targets(clips.withColumn("gender", F.lit("any")), seed, goal).select(F.lit(0).alias("label"), "path1", "path2")
+    drawn = non_targets(clips.withColumn("gender", F.lit("any")), seed, goal)
+    others = drawn.select(F.lit(0).alias("label"), "path1", "path2")
     return unique_trials(sampled(targets, seed, max(1, most - goal)).union(others))
 
 
+#: The splits that have trials, the names of their files, and the genders
+#: of which the last one has files of its own.
+SPLITS, GENDERED, GENDERS = {"validation": "val", "test": "test"}, "test", ("female", "male")
+#: Rows of a table of speakers that is broadcast at most.
+SMALL = 1 << 20
+
+
+def of_splits(metadata: DataFrame, splits: DataFrame) -> DataFrame:
+    """metadata with gender and split of its speaker, those without one left out."""
+    own = splits.select("speaker_id", "gender", "split")
+    own = F.broadcast(own) if own.count() <= SMALL else own
+    return metadata.drop("gender", "split").join(own, "speaker_id")
+
+
+def train_rows(rows: DataFrame) -> DataFrame:
+    """speaker_id and path of the training split, in this order."""
+    return rows.where("split = 'train'").select("speaker_id", "path").orderBy("speaker_id", "path")
+
+
 def protocol(metadata: DataFrame, splits: DataFrame, seed: int = 2026, targets: int = 5000, others: int = 50_000) -> dict[tuple[str, str], DataFrame]:
     """(split, mode): trials label, path1, path2 for validation and test; raises
     where a split has too few target pairs."""
-    rows = metadata.drop("gender", "split").join(F.broadcast(splits.select("speaker_id", "gender", "split")), "speaker_id")
+    rows = of_splits(metadata, splits)
     out = {}
-    for split in ("validation", "test"):
+    for split in SPLITS:
         for mode in ("A", "B"):
             clips, name = rows.where(F.col("split") == split), f"{seed}-{split}-{mode}"
             found = target_pairs(clips, mode)
             if (n := found.count()) < targets:
                 raise ValueError(f"{split} {mode}: {n} target pairs, {targets} asked for")
-            both = sampled(found, name, targets).select(F.lit(1).alias("label"), "path1", "path2").union(non_targets(clips, name, others).select(F.lit(0).alias("label"), "path1", "path2"))
+            drawn = non_targets(clips, name, others).select(F.lit(0).alias("label"), "path1", "path2")
+            both = sampled(found, name, targets).select(F.lit(1).alias("label"), "path1", "path2").union(drawn)
             out[split, mode] = both.orderBy(hashed(F.lit(name), "path1", "path2"))
     return out

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.arrays import dot, doubles, unit
+from ..functions.arrays import dot, doubles, let, unit
 
 
 def normalised(df: DataFrame, vector: str) -> DataFrame:
@@ -21,15 +24,33 @@ def mean_vector(df: DataFrame, by: list[str], vector: str, weight: str | None =
     return per.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "x"))), lambda s: s["x"]).alias("mean"))
 
 
+#: Rows of a group whose likeness to the whole group one task computes, and how many of
+#: those are compared at once.
+BLOCK, STEP = 2048, 256
+
+
 def medoids(df: DataFrame, by: str, key: str, vector: str) -> DataFrame:
-    """The member of each group with the largest median similarity to all its
-    members, the lowest key of equals. Groups are a track's or speaker's
-    references, so the join within one stays small."""
-    own = normalised(df, vector).select(by, F.col(key).alias("a"), F.col("u").alias("ua"))
-    other = own.select(by, F.col("a").alias("b"), F.col("ua").alias("ub"))
-    near = own.join(other, by).groupBy(by, "a").agg(F.percentile(dot(F.col("ua"), F.col("ub")), 0.5).alias("likeness"))
-    first = F.row_number().over(Window.partitionBy(by).orderBy(F.desc(F.round("likeness", 9)), "a"))
-    return near.withColumn("n", first).where("n = 1").select(by, F.col("a").alias("medoid"), "likeness")
+    """The member of each group with the largest median similarity to all its members,
+    the lowest key of equals. A group is a track's or speaker's references; a large one
+    is split into blocks of rows that each meet the group, so that no task has all of its
+    pairs and no pair is a row."""
+    own = normalised(df, vector).select(by, F.col(key).alias("key"), "u")
+    parts = own.groupBy(by).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    sized = own.join(parts, by)
+    mine = sized.select(F.col(by).alias(by), "key", F.col("u").alias("u"), F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part"))
+    every = sized.select(F.col(by).alias(by), F.col("u").alias("u"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    schema = T.StructType([own.schema[by], own.schema["key"], T.StructField("likeness", T.DoubleType())])
+
+    def likeness(rows: pd.DataFrame, group: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty:
+            return pd.DataFrame({by: [], "key": [], "likeness": []})
+        a, b = np.stack(rows["u"].to_list()), np.stack(group["u"].to_list())
+        found = [np.median(a[i : i + STEP] @ b.T, axis=1) for i in range(0, len(a), STEP)]
+        return pd.DataFrame({by: rows[by], "key": rows["key"], "likeness": np.concatenate(found)})
+
+    near = mine.groupBy(by, "part").cogroup(every.groupBy(by, "part")).applyInPandas(likeness, schema)
+    first = F.row_number().over(Window.partitionBy(by).orderBy(F.desc(F.round("likeness", 9)), "key"))
+    return near.withColumn("n", first).where("n = 1").select(by, F.col("key").alias("medoid"), "likeness")
 
 
 def templates(df: DataFrame, by: str, key: str, vector: str, inlier: float, least: int = 2) -> DataFrame:
@@ -44,29 +65,51 @@ def templates(df: DataFrame, by: str, key: str, vector: str, inlier: float, leas
     return mean_vector(near, [by], "u").join(counts, by).select(by, unit(F.col("mean")).alias("template"), "template_count")
 
 
+#: Templates of a block of the gallery, and those of a gallery that is broadcast at most.
+GALLERY_BLOCK, SMALL_GALLERY = 256, 1 << 15
+
+
 def identify(tracks: DataFrame, known: DataFrame, key: str, vector: str, accept: float, margin: float) -> DataFrame:
     """The best template of each track, the second, and whether the best is accepted.
-    known (speaker_id, template) is a gallery of one row a speaker, kept on the
-    driver's side of a run; Spark broadcasts it while it is small enough and falls
-    back to a nested loop over blocks where it isn't. One template alone: second is
+    known (speaker_id, template) is a gallery of one row a speaker. It meets the tracks
+    in blocks, of each of which a track keeps the two best, so that products of both are
+    never rows; blocks are broadcast while they are few. One template alone: second is
     -1 and the margin its score."""
-    every = normalised(tracks, vector).select(key, "u").crossJoin(known.select("speaker_id", "template"))
-    scored = every.withColumn("score", dot(F.col("u"), F.col("template")))
-    order = Window.partitionBy(key).orderBy(F.desc(F.round("score", 9)), "speaker_id")
+    n = known.count()
+    part = F.pmod(F.xxhash64("speaker_id"), F.lit(max(1, -(-n // GALLERY_BLOCK))))
+    blocks = known.groupBy(part.alias("part")).agg(F.collect_list(F.struct("speaker_id", "template")).alias("gallery")).select("gallery")
+    met = normalised(tracks, vector).select(key, "u").crossJoin(F.broadcast(blocks) if n <= SMALL_GALLERY else blocks)
+    score = lambda t: dot(F.col("u"), t["template"])
+    told = lambda t: let(score(t), lambda x: F.struct((-F.round(x, 9)).alias("order"), t["speaker_id"].alias("speaker_id"), x.alias("score")))
+    best = F.slice(F.array_sort(F.transform("gallery", told)), 1, 2)
+    scored = met.select(key, F.explode(best).alias("x")).select(key, "x.order", "x.speaker_id", "x.score")
+    order = Window.partitionBy(key).orderBy("order", "speaker_id")
     top = scored.withColumn("n", F.row_number().over(order)).withColumn("second", F.lead("score").over(order)).where("n = 1")
     lone = F.col("second").isNull()
-    out = top.select(key, F.col("speaker_id").alias("best_speaker"), F.col("score").alias("face_conf"), F.when(lone, -1.0).otherwise(F.col("second")).alias("face_other_conf"), F.when(lone, F.col("score")).otherwise(F.col("score") - F.col("second")).alias("face_margin"))
+    out = top.select(
+        key,
+        F.col("speaker_id").alias("best_speaker"),
+        F.col("score").alias("face_conf"),
+        F.when(lone, -1.0).otherwise(F.col("second")).alias("face_other_conf"),
+        F.when(lone, F.col("score")).otherwise(F.col("score") - F.col("second")).alias("face_margin"),
+    )
     fine = (F.col("face_conf") >= accept) & (F.col("face_margin") >= margin)
     return out.withColumn("speaker_id", F.when(fine, F.col("best_speaker")).otherwise(F.lit("unknown"))).drop("best_speaker")
 
 
-def competitors(segments: DataFrame, tracks: DataFrame, points: DataFrame, fps: float, least: float = 0.65, most: int = 2) -> DataFrame:
+def competitors(segments: DataFrame, tracks: DataFrame, points: DataFrame, fps: float, least: float = 0.65, most: int = 2, bucket: int = 64) -> DataFrame:
     """Up to `most` other tracks of the same video that cover enough of a segment
-    (segment_id, video_id, track_id, start, end); tracks hold (track_id, video_id)."""
-    ranged = segments.select("segment_id", "video_id", F.col("track_id").alias("own"), F.floor(F.col("start") * fps).alias("first"), F.ceil(F.col("end") * fps).alias("last"))
-    seen = points.join(tracks.select("track_id", "video_id"), "track_id")
-    met = ranged.join(seen, "video_id").where((F.col("track_id") != F.col("own")) & F.col("frame").between(F.col("first"), F.col("last")))
-    share = met.groupBy("segment_id", "track_id").agg((F.count("*") / F.greatest(F.lit(1), F.first("last") - F.first("first") + 1)).alias("coverage")).where(F.col("coverage") >= least)
+    (segment_id, video_id, track_id, start, end); tracks hold (track_id, video_id). Both
+    sides meet by video and bucket of frames, however long a video is."""
+    first, last = F.floor(F.col("start") * fps), F.ceil(F.col("end") * fps)
+    ranged = segments.select("segment_id", "video_id", F.col("track_id").alias("own"), first.alias("first"), last.alias("last"))
+    spread = ranged.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("first") / bucket), F.floor(F.col("last") / bucket))))
+    seen = points.select("track_id", "frame").join(tracks.select("track_id", "video_id"), "track_id")
+    seen = seen.withColumn("bucket", F.floor(F.col("frame") / bucket))
+    met = spread.join(seen, ["video_id", "bucket"])
+    met = met.where((F.col("track_id") != F.col("own")) & F.col("frame").between(F.col("first"), F.col("last")))
+    expected = F.greatest(F.lit(1), F.first("last") - F.first("first") + 1)
+    share = met.groupBy("segment_id", "track_id").agg((F.count("*") / expected).alias("coverage")).where(F.col("coverage") >= least)
     order = Window.partitionBy("segment_id").orderBy(F.desc("coverage"), "track_id")
     return share.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most)
 

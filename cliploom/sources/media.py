@@ -13,6 +13,7 @@ import shutil
 import subprocess
 import wave
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -57,14 +58,16 @@ def encode_wav(x: np.ndarray, rate: int) -> bytes:
 
 
 def resample(x: np.ndarray, rate: int, to: int) -> np.ndarray:
-    """By cutting or padding the spectrum."""
+    """By cutting or padding the spectrum; the length by truncation, one sample at least."""
     if rate == to or not len(x):
         return x
-    n = int(round(len(x) * to / rate))
+    n = max(1, int(len(x) * to / rate))
     spectrum = np.fft.rfft(x)
     wide = np.zeros(n // 2 + 1, complex)
-    m = min(len(spectrum), len(wide))
-    wide[:m] = spectrum[:m]
+    m = min(len(x), n)
+    wide[: m // 2 + 1] = spectrum[: m // 2 + 1]
+    if m % 2 == 0:  # the middle frequency stands for both of its signs
+        wide[m // 2] *= 2.0 if n < len(x) else 0.5 if n > len(x) else 1.0
     return (np.fft.irfft(wide, n) * (n / len(x))).astype(np.float32)
 
 
@@ -102,6 +105,17 @@ def clips(audio: DataFrame, segments: DataFrame) -> DataFrame:
     return both.withColumn("clip", made("samples", "rate", "start", "end")).select("*", "clip.wav", "clip.sha1").drop("samples", "clip")
 
 
+def encoded(df: DataFrame, rate: int, samples: str = "samples") -> DataFrame:
+    """df with wav, its samples as 16-bit PCM, and their SHA-1, instead of the samples."""
+
+    @F.pandas_udf("wav binary, sha1 string")
+    def made(x: pd.Series) -> pd.DataFrame:
+        raw = [encode_wav(np.asarray(v, np.float32), rate) for v in x]
+        return pd.DataFrame({"wav": raw, "sha1": [hashlib.sha1(w).hexdigest() for w in raw]})
+
+    return df.withColumn("clip", made(F.col(samples).cast("array<float>"))).select("*", "clip.wav", "clip.sha1").drop("clip", samples)
+
+
 def _run(*command: str) -> str:
     if not shutil.which(command[0]):
         raise OSError(f"{command[0]} is not installed")
@@ -171,8 +185,6 @@ def copy_files(plan: DataFrame) -> DataFrame:
     """Copies source to target on a shared file system; (target, bytes, error)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pathlib import Path
-
         for pdf in batches:
             rows = []
             for source, target in zip(pdf["source"], pdf["target"], strict=True):
@@ -193,8 +205,6 @@ def write_files(df: DataFrame) -> DataFrame:
     (path, bytes, error)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pathlib import Path
-
         for pdf in batches:
             rows = []
             for path, content in zip(pdf["path"], pdf["content"], strict=True):
@@ -208,3 +218,78 @@ def write_files(df: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=["path", "bytes", "error"])
 
     return df.select("path", "content").mapInPandas(run, "path string, bytes long, error string")
+
+
+def _cut_media(command: list[str], target: Path, keep_over: int = 0) -> str | None:
+    """Runs ffmpeg into a file, whole or not at all; an error in words. A file with more
+    bytes than `keep_over` is taken as it is, if that is over 0."""
+    if keep_over and target.exists() and target.stat().st_size > keep_over:
+        return None
+    if not shutil.which("ffmpeg"):
+        return "ffmpeg is not installed"
+    target.parent.mkdir(parents=True, exist_ok=True)
+    part = target.with_name(f".{target.name}.part{target.suffix}")
+    try:
+        subprocess.run(["ffmpeg", "-v", "error", "-y", *command, str(part)], capture_output=True, check=True, timeout=3600)
+        part.replace(target)
+    except (OSError, subprocess.SubprocessError) as e:
+        return str(e)
+    return None
+
+
+#: Bytes over which a file of audio is taken as made already.
+CACHED_BYTES = 1024
+
+
+def extracted(windows: DataFrame, folder: str, rate: int = 16000, fps: float = 5.0, width: int = 640) -> DataFrame:
+    """windows (path, video_id, and start, duration, tag of a part; without a tag the
+    whole video) with audio_path, frames_path, n_frames and error: audio and frames on a
+    shared folder, made together. Audio that is there already is not made again, frames
+    always are; a window without frames has an error."""
+    part = "tag" in windows.columns
+    more = [T.StructField("audio_path", T.StringType()), T.StructField("frames_path", T.StringType()), T.StructField("n_frames", T.IntegerType()), T.StructField("error", T.StringType())]
+    schema = T.StructType([*windows.schema.fields, *more])
+
+    def one(row) -> tuple:
+        span = ["-ss", f"{row.start:.3f}", "-i", row.path, "-t", f"{row.duration:.3f}"] if part else ["-i", row.path]
+        below = Path("windows") / row.video_id / row.tag if part else Path(row.video_id)
+        audio, frames = Path(folder) / "audio" / f"{below}.wav", Path(folder) / "frames" / below
+        error = _cut_media([*span, "-vn", "-ac", "1", "-ar", str(rate), "-acodec", "pcm_s16le"], audio, CACHED_BYTES)
+        shutil.rmtree(frames, ignore_errors=True)
+        if error is None:
+            frames.mkdir(parents=True, exist_ok=True)
+            command = ["ffmpeg", "-v", "error", "-y", *span, "-vf", f"fps={fps},scale={width}:-1", "-q:v", "5", str(frames / "frame_%06d.jpg")]
+            try:
+                subprocess.run(command, capture_output=True, check=True, timeout=3600)
+            except (OSError, subprocess.SubprocessError) as e:
+                error = str(e)
+        n = len(list(frames.glob("frame_*.jpg"))) if frames.exists() else 0
+        return str(audio), str(frames), n, error or (None if n else "no frames")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = [one(r) for r in pdf.itertuples(index=False)]
+            yield pdf.assign(**{f.name: [r[i] for r in rows] for i, f in enumerate(more)})
+
+    return windows.mapInPandas(run, schema)
+
+
+def deleted(paths: DataFrame, empty_parents: int = 0) -> DataFrame:
+    """Deletes files and folders (path) of a shared file system, and up to so many folders
+    above that are empty then; (path, gone)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for path in map(Path, pdf["path"]):
+                if path.is_dir():
+                    shutil.rmtree(path, ignore_errors=True)
+                else:
+                    path.unlink(missing_ok=True)
+                for above in list(path.parents)[:empty_parents]:
+                    try:
+                        above.rmdir()
+                    except OSError:
+                        break
+            yield pd.DataFrame({"path": pdf["path"], "gone": [not Path(p).exists() for p in pdf["path"]]})
+
+    return paths.select("path").mapInPandas(run, "path string, gone boolean")

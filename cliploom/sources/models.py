@@ -67,3 +67,54 @@ def voice_mask(audio: DataFrame, factory: Factory) -> DataFrame:
 def flat_sync() -> Callable[[list], list]:
     """A stand-in: no shift is nearer than another."""
     return lambda clips: [np.ones((len(c), 21), np.float32) for c in clips]
+
+
+def ready(factories: dict[str, Factory]) -> dict[str, str]:
+    """What hinders models from loading, by their names; empty where all load. A model
+    that cannot run where it is told to may fall back itself; what it raises counts."""
+    out = {}
+    for name, factory in factories.items():
+        try:
+            _model(factory)
+        except Exception as e:  # a model's loader may raise anything
+            out[name] = f"{type(e).__name__}: {e}"
+    return out
+
+
+def frame_mask(x: np.ndarray, rate: int, decide: Callable[[bytes, int], bool], frame_ms: int = 30) -> np.ndarray:
+    """Samples in a frame that is speech, of frames half a frame apart; a frame that the
+    model fails on counts as speech, audio under a frame is all speech."""
+    size = int(rate * frame_ms / 1000)
+    if len(x) < size:
+        return np.ones(len(x), bool)
+    pcm = (np.clip(x, -1.0, 1.0) * 32767).astype("<i2")
+    mask = np.zeros(len(x), bool)
+    for a in range(0, len(x) - size + 1, max(1, size // 2)):
+        try:
+            speech = decide(pcm[a : a + size].tobytes(), rate)
+        except Exception:  # whatever the model raises
+            speech = True
+        if speech:
+            mask[a : a + size] = True
+    return mask
+
+
+def frame_voice_mask(audio: DataFrame, factory: Callable[[], Callable[[bytes, int], bool]], rate: int, frame_ms: int = 30, to: int = 16000) -> DataFrame:
+    """audio (samples at `rate`) with mask, from a model that judges frames of 16-bit PCM
+    at `to` samples a second; the mask is brought back to the audio's own samples."""
+    from .media import resample
+
+    @F.pandas_udf("array<boolean>")
+    def masked(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        decide = _model(factory)
+        for series in batches:
+            out = []
+            for samples in series:
+                x = np.asarray(samples, np.float32)
+                mask = frame_mask(resample(x, rate, to), to, decide, frame_ms)
+                if len(mask) != len(x):
+                    mask = resample(mask.astype(np.float32), len(mask), len(x)) > 0.5
+                out.append(mask.tolist())
+            yield pd.Series(out)
+
+    return audio.withColumn("mask", masked("samples"))

@@ -53,6 +53,17 @@ def write_lines(df: DataFrame, path: str, *columns: str) -> None:
     df.select(F.concat_ws(" ", *(F.col(c).cast("string") for c in columns)).alias("value")).write.mode("overwrite").text(path)
 
 
+def write_list(df: DataFrame, path: str, column: str) -> int:
+    """The rows as write_lines() does, and how many; without any the list is removed."""
+    spark, n = df.sparkSession, df.count()
+    if n:
+        write_lines(df, path, column)
+    else:
+        here = spark._jvm.org.apache.hadoop.fs.Path(path)
+        here.getFileSystem(spark._jsc.hadoopConfiguration()).delete(here, True)
+    return n
+
+
 def write_by_speaker(df: DataFrame, path: str) -> None:
     df.repartition("speaker_id").sortWithinPartitions("speaker_id").write.mode("overwrite").partitionBy("speaker_id").parquet(path)
 
