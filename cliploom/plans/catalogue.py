@@ -2,43 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Settings
 from ..functions import arrays
-from ..functions.columns import bbox_iou, canonical_path, crop_box, number, spaced
-from ..operators import candidates, gates, intervals, manifest, metrics, proposals, rejections, review, selection, stats, store, sync, tracking, trials, vectors
-from .bindings import CANDIDATES, CLIPS, SEGMENTS, bound, duck
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-S = Settings()
-
-
-def query(sql: str | None = None, **bindings: str):
-    """Registers a query with its SQL; bindings are put before it by name."""
-
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            parts = [f"{name} AS ({duck(text)})" for name, text in bindings.items()]
-            listed = ", ".join(parts)
-            ORACLE_SQL[f.__name__] = sql.replace("WITH+ RECURSIVE", f"WITH RECURSIVE {listed}").replace("WITH+", f"WITH {listed}")
-        return f
-
-    return add
-
-
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
-    return df.withColumns({c: F.round(c, places) for c in columns})
+from ..functions.columns import bbox_iou, box_of, canonical_path, crop_box, number, spaced
+from ..operators import candidates, gates, intervals, manifest, metrics, proposals, rejections, review, selection, stats, store, sync, trials, vectors
+from .bindings import CANDIDATES, CLIPS, SEGMENTS, bound
+from .registry import ORACLE_SQL, QUERIES, S, query, read, rounded
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 # --- manifest -----------------------------------------------------------------
 
@@ -87,12 +61,13 @@ def preflight_problems(spark, sf):
 
 @query("""
     SELECT CAST(doc_id AS VARCHAR) AS youtube_id, doc_id % 4 = 0 AS missing, CASE WHEN doc_id % 4 <> 0 THEN 'v/' || doc_id || '.mp4' END AS path,
-           CASE WHEN doc_id % 8 = 0 THEN 'v/' || doc_id || ' copy.mp4' END AS near
+           CASE WHEN doc_id % 8 = 0 THEN 'v/' || doc_id || '.f1.webm' END AS near
     FROM documents WHERE lang <> 'de'""")
 def local_video_check(spark, sf):
     docs = read(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("youtube_id"), F.when(F.col("lang") == "de", " False").otherwise("n").alias("use"))
     key = F.col("youtube_id").cast("long")
-    files = docs.where((key % 4 != 0) | (key % 8 == 0)).select(F.concat(F.lit("v/"), "youtube_id", F.when(key % 8 == 0, " copy").otherwise(""), F.lit(".mp4")).alias("path"))
+    name = F.concat(F.lit("v/"), "youtube_id", F.when(key % 8 == 0, ".f1.webm").when(key % 4 == 0, " copy.mp4").otherwise(".mp4"))
+    files = docs.select(name.alias("path"))  # neither another kind nor another name counts
     return manifest.local_videos(docs, files).select("youtube_id", "missing", "path", "near")
 
 
@@ -166,7 +141,7 @@ _VIDEOS = "SELECT CAST(user_id AS STRING) AS video_id, floor(sum(value) * 10) AS
 
 @query("""WITH+ , i AS (SELECT *, unnest(range(0, CAST(greatest(1, ceil(video_duration / 600)) AS BIGINT))) AS idx FROM v)
     SELECT video_id, CAST(idx AS INTEGER) AS idx, CAST(idx * 600 AS DOUBLE) AS start, least(600.0::DOUBLE, video_duration - idx * 600) AS duration,
-           'w' || lpad(CAST(idx AS VARCHAR), 4, '0') || '_' || lpad(CAST(idx * 600 AS VARCHAR), 6, '0') AS tag, video_duration
+           CASE WHEN video_duration <= 600 THEN 'w0000' ELSE 'w' || lpad(CAST(idx AS VARCHAR), 4, '0') || '_' || lpad(CAST(idx * 600 AS VARCHAR), 6, '0') END AS tag, video_duration
     FROM i WHERE (video_duration <= 600 AND idx = 0) OR (video_duration > 600 AND video_duration - idx * 600 >= 60)""", v=_VIDEOS)
 def video_windows_hopping(spark, sf):
     return intervals.video_windows(bound(spark, sf, _VIDEOS))
@@ -185,10 +160,12 @@ def stratified_window_order(spark, sf):
     return intervals.stratified(intervals.video_windows(bound(spark, sf, _VIDEOS))).select("video_id", "idx", "visit")
 
 
-@query("""WITH+ SELECT video_id, CAST(idx AS INTEGER) AS idx, round(CASE WHEN video_duration > 600 THEN (video_duration - 600) * idx / 4 ELSE 0 END, 6) AS start
-    FROM v, (SELECT unnest(range(0, 5)) AS idx) WHERE video_duration > 600 OR idx = 0""", v=_VIDEOS)
+@query("""WITH+ , w AS (SELECT video_id, CAST(idx AS INTEGER) AS idx, video_duration, least((video_duration - 600) * idx / 4, video_duration - 60) AS start FROM v, (SELECT unnest(range(0, 5)) AS idx) WHERE video_duration > 600)
+    SELECT video_id, idx, round(start, 6) AS start, round(least(600.0::DOUBLE, greatest(60.0::DOUBLE, video_duration - start)), 6) AS duration, 'w' || lpad(CAST(idx AS VARCHAR), 4, '0') || '_' || lpad(CAST(CAST(floor(start) AS BIGINT) AS VARCHAR), 6, '0') AS tag FROM w
+    UNION ALL SELECT video_id, 0, 0.0, video_duration, 'w0000' FROM v WHERE video_duration <= 600""", v=_VIDEOS)
 def uniform_windows(spark, sf):
-    return rounded(intervals.uniform_windows(bound(spark, sf, _VIDEOS), 5).select("video_id", "idx", "start"), "start")
+    found = intervals.video_windows(bound(spark, sf, _VIDEOS), most=5, strategy="uniform")
+    return rounded(found.select("video_id", "idx", "start", "duration", "tag"), "start", "duration")
 
 
 _TRACKS = "SELECT concat(CAST(user_id AS STRING), event_type) AS track_id, CAST(user_id AS STRING) AS window_id, min(CAST(event_id % 300 AS DOUBLE)) / 5 AS start_time, (max(CAST(event_id % 300 AS DOUBLE)) + 1) / 5 AS end_time, max(value) AS face_conf FROM {events} GROUP BY user_id, event_type"
@@ -279,7 +256,7 @@ def run_slices(spark, sf):
 
 # --- vectors ----------------------------------------------------------------------
 
-_FACES = """WITH e AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings WHERE vec_id % 10 < 3),
+_FACES = """WITH e AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
     u AS (SELECT vec_id, label, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS u FROM e)"""
 _MEDOID = f"""{_FACES}, k AS (SELECT a.label, a.vec_id, quantile_cont(list_dot_product(a.u, b.u), 0.5) AS likeness FROM u a JOIN u b USING (label) GROUP BY 1, 2),
     m AS (SELECT label, vec_id AS medoid, likeness FROM k QUALIFY row_number() OVER (PARTITION BY label ORDER BY round(likeness, 9) DESC, vec_id) = 1)"""
@@ -295,11 +272,11 @@ def _faces(spark, sf):
 
 @query(f"{_MEDOID} SELECT label, medoid, round(likeness, 6) AS likeness FROM m")
 def medoid_template(spark, sf):
-    return rounded(vectors.medoids(_faces(spark, sf).where("vec_id % 10 < 3"), "label", "vec_id", "embedding"), "likeness")
+    return rounded(vectors.medoids(_faces(spark, sf), "label", "vec_id", "embedding"), "likeness")
 
 
 def _templates(spark, sf):
-    return vectors.templates(_faces(spark, sf).where("vec_id % 10 < 3"), "label", "vec_id", "embedding", 0.0)
+    return vectors.templates(_faces(spark, sf), "label", "vec_id", "embedding", 0.0)
 
 
 @query(f"""{_TEMPLATES}, n AS (SELECT label, count(*) AS template_count FROM near GROUP BY 1)
@@ -343,7 +320,7 @@ def competitor_tracks(spark, sf):
 
 # --- gates and selection ------------------------------------------------------------
 
-_NUM = """WITH+ , n AS (SELECT *, CASE WHEN isnan(snr_db) OR snr_db IS NULL THEN -99 ELSE snr_db END AS snr, lower(trim(candidate_profile)) = 'relaxed' AS relaxed FROM c),
+_NUM = """WITH+ , n AS (SELECT *, CASE WHEN isnan(snr_db) OR snr_db IS NULL THEN -99 ELSE snr_db END AS snr, lower(candidate_profile) = 'relaxed' AS relaxed FROM c),
     t AS (SELECT *, CASE WHEN relaxed THEN 0.5::DOUBLE ELSE 0.6::DOUBLE END AS face_thr, CASE WHEN relaxed THEN 5.0::DOUBLE ELSE 8.0::DOUBLE END AS snr_thr FROM n),
     a AS (SELECT *, greatest(0, least(1, (face_conf - face_thr) / greatest(0.8::DOUBLE - face_thr, 0.01::DOUBLE))) AS face_score, greatest(0, least(1, (snr - snr_thr) / 20)) AS snr_score, greatest(0, least(1, (syncnet_confidence - 4) / 7)) AS sync_score FROM t),
     sc AS (SELECT *, 0.30::DOUBLE * face_score + 0.20::DOUBLE * quality_score + 0.35::DOUBLE * sync_score + 0.10::DOUBLE * active_confidence + 0.05::DOUBLE * snr_score AS balanced FROM a),
@@ -351,17 +328,24 @@ _NUM = """WITH+ , n AS (SELECT *, CASE WHEN isnan(snr_db) OR snr_db IS NULL THEN
         AND vad_ratio >= 0.45::DOUBLE AND snr >= snr_thr AND syncnet_verified >= 1 AND syncnet_confidence >= 4 AND abs(syncnet_offset_frames) <= 3 AND syncnet_unambiguous >= 1 AS eligible FROM sc)"""
 
 
-@query("""WITH+ , n AS (SELECT *, CASE WHEN isnan(snr_db) OR snr_db IS NULL THEN -99 ELSE snr_db END AS snr FROM c)
-    SELECT row_ord, round(0.40::DOUBLE * least(1, vad_ratio) + 0.30::DOUBLE * greatest(0, least(1, (snr - 8) / 20)) + 0.20::DOUBLE * least(1, rms / 0.05::DOUBLE) + 0.10::DOUBLE * (1 - least(1, clipping_ratio / 0.02::DOUBLE)), 6) AS quality_score,
-      concat_ws(', ', CASE WHEN duration < 2 THEN 'too_short' END, CASE WHEN vad_ratio < 0.55::DOUBLE THEN 'low_speech' END, CASE WHEN snr < 8 THEN 'low_snr' END, CASE WHEN clipping_ratio > 0.02::DOUBLE THEN 'clipping' END, CASE WHEN rms < 0.003::DOUBLE THEN 'low_rms' END) AS quality_reason FROM n""", c=CANDIDATES)
+_CLEAN_SNR = "n AS (SELECT *, CASE WHEN isnan(snr_db) OR snr_db IS NULL THEN -99 ELSE snr_db END AS snr FROM c)"
+
+
+@query(f"""WITH+ , {_CLEAN_SNR}
+    SELECT row_ord, round(0.40::DOUBLE * greatest(0, least(1, (vad_ratio - 0.55::DOUBLE) / 0.45::DOUBLE)) + 0.30::DOUBLE * greatest(0, least(1, (snr - 8) / 20)) + 0.20::DOUBLE * least(1, rms / 0.012::DOUBLE) + 0.10::DOUBLE * (1 - least(1, clipping_ratio / 0.02::DOUBLE)), 6) AS quality_score,
+      coalesce(nullif(concat_ws(', ', CASE WHEN duration <= 0 THEN 'audio vacío' END, CASE WHEN rms < 0.003::DOUBLE THEN 'RMS bajo' END, CASE WHEN vad_ratio < 0.55::DOUBLE THEN 'poca voz' END, CASE WHEN snr < 8 THEN 'SNR bajo' END, CASE WHEN clipping_ratio > 0.02::DOUBLE THEN 'clipping' END), ''), 'ok') AS quality_reason FROM n""", c=CANDIDATES)
 def quality_score_gate(spark, sf):
     return rounded(gates.audio_quality(bound(spark, sf, CANDIDATES), S).select("row_ord", "quality_score", "quality_reason"), "quality_score")
 
 
-@query("""WITH+ SELECT CASE WHEN duration < 2.4::DOUBLE THEN 'short' WHEN clipping_ratio > 0.02::DOUBLE THEN 'clipped' WHEN rms < 0.004::DOUBLE THEN 'quiet' WHEN snr_db < 10 AND NOT isnan(snr_db) OR isnan(snr_db) THEN 'noisy' ELSE 'accepted' END AS reject_reason, count(*) AS n FROM c GROUP BY 1""", c=CANDIDATES)
+@query(f"""WITH+ , {_CLEAN_SNR}, o AS (SELECT *, duration / 5 AS d, clipping_ratio * 10 AS overlap_ratio FROM n)
+    SELECT CASE WHEN d < 0.5::DOUBLE THEN 'short' WHEN rms < 0.003::DOUBLE THEN 'rms' WHEN vad_ratio < 0.55::DOUBLE THEN 'vad' WHEN snr < 8 THEN 'snr' WHEN overlap_ratio > 0.10::DOUBLE THEN 'overlap' ELSE 'accepted' END AS reject_reason,
+      count(*) AS n, count(*) FILTER (WHERE d > 0 AND rms >= 0.003::DOUBLE AND vad_ratio >= 0.55::DOUBLE AND snr >= 8 AND overlap_ratio <= 0.10::DOUBLE) AS n_accepted_chunks FROM o GROUP BY 1""", c=CANDIDATES)
 def rejection_reason_counts(spark, sf):
-    rules = [("short", F.col("duration") < 2.4), ("clipped", F.col("clipping_ratio") > 0.02), ("quiet", F.col("rms") < 0.004), ("noisy", number("snr_db", -99.0) < 10)]
-    return gates.rejection_counts(gates.first_failure(bound(spark, sf, CANDIDATES), rules))
+    rows = bound(spark, sf, CANDIDATES).withColumn("duration", F.col("duration") / 5).withColumn("overlap_ratio", F.col("clipping_ratio") * 10)
+    told = gates.first_failure(rows, gates.segment_rules(S)).withColumn("fine", gates.chunk_accepted(S))
+    counts = gates.rejection_counts(told)
+    return counts.join(told.groupBy("reject_reason").agg(F.count_if("fine").alias("n_accepted_chunks")), "reject_reason")
 
 
 def _eligible(spark, sf) -> DataFrame:
@@ -456,38 +440,34 @@ def early_stop_budget(spark, sf):
 # --- stats and validation --------------------------------------------------------------
 
 
-@query("""WITH+ , p AS (SELECT speaker_id, count(*) FILTER (WHERE file_exists) AS n_clips, coalesce(sum("end" - start) FILTER (WHERE file_exists), 0) AS duration, count(DISTINCT video_id) FILTER (WHERE file_exists) AS n_videos, count(*) FILTER (WHERE NOT file_exists) AS n_missing
-        FROM c WHERE row_ord % 3 = 0 AND face_conf > 0.98::DOUBLE GROUP BY 1)
-    SELECT CAST(s_suppkey AS VARCHAR) AS speaker_id, coalesce(n_clips, 0) AS n_clips, round(coalesce(duration, 0), 4) AS duration, coalesce(n_videos, 0) AS n_videos, coalesce(n_missing, 0) AS n_missing
-    FROM supplier LEFT JOIN p ON p.speaker_id = CAST(s_suppkey AS VARCHAR)""", c=CANDIDATES)
+@query("""WITH+ , p AS (SELECT speaker_id, count(*) FILTER (WHERE file_exists) AS n_clips, coalesce(sum(duration) FILTER (WHERE file_exists), 0) AS duration_sec, count(DISTINCT video_id) FILTER (WHERE file_exists) AS n_videos, count(*) FILTER (WHERE NOT file_exists) AS missing_files
+        FROM c GROUP BY 1)
+    SELECT CAST(c_custkey AS VARCHAR) AS speaker_id, coalesce(n_clips, 0) AS n_clips, round(coalesce(duration_sec, 0), 4) AS duration_sec, coalesce(n_videos, 0) AS n_videos, coalesce(missing_files, 0) AS missing_files
+    FROM customer LEFT JOIN p ON p.speaker_id = CAST(c_custkey AS VARCHAR)""", c=CANDIDATES)
 def speaker_coverage(spark, sf):
-    rows = bound(spark, sf, CANDIDATES).where("row_ord % 3 = 0 and face_conf > 0.98")
-    return rounded(stats.coverage(read(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("speaker_id")), rows), "duration", places=4)
+    speakers = read(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("speaker_id"))
+    return rounded(stats.coverage(speakers, bound(spark, sf, CANDIDATES)), "duration_sec", places=4)
 
 
-_PER = "SELECT speaker_id, count(*) AS n_utterances, count(DISTINCT video_id) AS n_videos, sum(duration) AS total_duration, avg(duration) AS mean_duration, avg(face_conf) AS mean_face_conf, avg(CASE WHEN isnan(snr_db) THEN NULL ELSE snr_db END) AS mean_snr_db FROM c GROUP BY 1"
+_PER = "SELECT speaker_id, count(*) AS n_utterances, count(DISTINCT video_id) AS n_videos, sum(duration) AS duration_sec, avg(duration) AS mean_duration, avg(CASE WHEN isnan(snr_db) THEN NULL ELSE snr_db END) AS mean_snr, avg(vad_ratio) AS mean_vad FROM c GROUP BY 1"
 
 
-def _clean(spark, sf) -> DataFrame:
-    return bound(spark, sf, CANDIDATES).withColumn("snr_db", number("snr_db"))
-
-
-@query(f"WITH+ , p AS ({_PER}) SELECT speaker_id, n_utterances, n_videos, round(total_duration, 4) AS total_duration, round(mean_duration, 6) AS mean_duration, round(mean_face_conf, 6) AS mean_face_conf, round(mean_snr_db, 6) AS mean_snr_db FROM p", c=CANDIDATES)
+@query(f"WITH+ , p AS ({_PER}) SELECT speaker_id, n_utterances, n_videos, round(duration_sec, 4) AS duration_sec, round(mean_duration, 6) AS mean_duration, round(mean_snr, 6) AS mean_snr, round(mean_vad, 6) AS mean_vad FROM p", c=CANDIDATES)
 def speaker_stats(spark, sf):
-    out = stats.speaker_stats(_clean(spark, sf))
-    return rounded(rounded(out, "total_duration", places=4), "mean_duration", "mean_face_conf", "mean_snr_db")
+    out = stats.speaker_stats(bound(spark, sf, CANDIDATES))
+    return rounded(rounded(out, "duration_sec", places=4), "mean_duration", "mean_snr", "mean_vad")
 
 
-@query("WITH+ SELECT speaker_id, video_id, count(*) AS n_utterances, round(sum(duration), 4) AS total_duration FROM c GROUP BY 1, 2", c=CANDIDATES)
+@query("WITH+ SELECT speaker_id, video_id, count(*) AS n_utterances, round(sum(duration), 4) AS duration_sec FROM c GROUP BY 1, 2", c=CANDIDATES)
 def video_stats(spark, sf):
-    return rounded(stats.video_stats(bound(spark, sf, CANDIDATES)), "total_duration", places=4)
+    return rounded(stats.video_stats(bound(spark, sf, CANDIDATES)), "duration_sec", places=4)
 
 
-@query(f"""WITH+ , p AS ({_PER}) SELECT count(*) AS n_utterances, count(DISTINCT video_id) AS n_videos, round(sum(duration), 3) AS total_duration, round(avg(duration), 6) AS mean_duration, (SELECT count(*) FROM p) AS n_speakers,
-    (SELECT min(n_utterances) FROM p) AS least_utterances, (SELECT max(n_utterances) FROM p) AS most_utterances, (SELECT count(*) FROM p WHERE n_utterances < 600) AS below_target, (SELECT count(*) FROM p WHERE n_utterances <> 600) AS off_target FROM c""", c=CANDIDATES)
+@query(f"""WITH+ , p AS ({_PER}) SELECT (SELECT count(*) FROM p) AS n_speakers, count(DISTINCT video_id) AS n_videos, count(*) AS n_utterances, round(sum(duration) / 3600, 6) AS duration_hours, round(avg(duration), 6) AS mean_duration,
+    (SELECT count(*) FROM p WHERE n_utterances < 590) AS speakers_below_min_utt, (SELECT count(*) FROM p WHERE n_utterances <> 600) AS speakers_not_exact_target, 590 AS min_utt_threshold FROM c""", c=CANDIDATES)
 def dataset_summary(spark, sf):
-    rows = _clean(spark, sf)
-    return rounded(rounded(stats.summary(stats.speaker_stats(rows), rows, 600), "total_duration", places=3), "mean_duration")
+    rows = bound(spark, sf, CANDIDATES)
+    return rounded(stats.summary(stats.speaker_stats(rows), rows, 600, 590), "duration_hours", "mean_duration")
 
 
 @query("SELECT CAST(l_suppkey AS VARCHAR) AS speaker_id, string_agg(v || '=' || n, ', ' ORDER BY v || '=' || n) AS distribution FROM (SELECT l_suppkey, l_returnflag || l_linestatus AS v, count(*) AS n FROM lineitem GROUP BY 1, 2) GROUP BY 1")
@@ -518,19 +498,20 @@ def utterance_ids(spark, sf):
     return candidates.with_utterances(rows).select("row_ord", "utterance_id", "export_path")
 
 
-@query("SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'a/' || page_id || '.wav' WHEN page_id % 3 = 1 THEN 's/v/u' || page_id || '.wav' ELSE 'x' || page_id || '.WAV' END AS path FROM pages")
+@query("""SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'wav/s/v/u' || page_id || '.wav' WHEN 1 THEN 'wav/s/v/' || page_id || '.wav' WHEN 2 THEN 'wav/a/' || page_id || '.wav' WHEN 3 THEN 'wav/b/' || page_id || '.wav' ELSE 'wav/c/' || page_id || '.wav' END AS path FROM pages""")
 def canonical_paths(spark, sf):
-    pages = read(spark, sf, "pages").withColumn("k", F.col("page_id").cast("string"))
-    given = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("/data/dev/wav/a/"), "k")).when(F.col("page_id") % 3 == 2, F.concat(F.lit("x"), "k", F.lit(".WAV"))).otherwise("  ")
-    return pages.select("page_id", canonical_path(F.lit("s"), F.lit("v"), F.concat(F.lit("u"), "k"), given).alias("path"))
+    pages = read(spark, sf, "pages").withColumn("k", F.col("page_id").cast("string")).withColumn("r", F.col("page_id") % 5)
+    named = F.when(F.col("r") == 0, F.concat(F.lit(" u"), "k")).when(F.col("r") == 1, F.concat("k", F.lit(".wav"))).when(F.col("r") == 2, "  ")
+    exported = F.when(F.col("r") == 2, F.concat(F.lit("/data/out\\dev\\wav\\a/"), "k", F.lit(".wav"))).when(F.col("r") == 3, F.concat(F.lit("dev/wav/b/"), "k", F.lit(".wav"))).otherwise("elsewhere")
+    kept = F.when(F.col("r") == 4, F.concat(F.lit("wav/c/"), "k", F.lit(".wav"))).otherwise("")
+    return pages.select("page_id", canonical_path(F.lit(" s"), F.lit("v "), named, exported, kept).alias("path"))
 
 
-@query("""WITH+ , r AS (SELECT *, row_number() OVER (PARTITION BY speaker_id ORDER BY face_margin, syncnet_confidence, quality_score, snr_db, row_ord) AS place FROM (SELECT * REPLACE (CASE WHEN isnan(snr_db) THEN 0 ELSE snr_db END AS snr_db) FROM c)),
+@query("""WITH+ , r AS (SELECT *, row_number() OVER (PARTITION BY speaker_id ORDER BY syncnet_confidence, face_margin, snr_db NULLS LAST, row_ord) AS place FROM (SELECT * REPLACE (CASE WHEN isnan(snr_db) THEN NULL ELSE snr_db END AS snr_db) FROM c)),
     d AS (SELECT *, row_number() OVER (PARTITION BY speaker_id, place > 5 ORDER BY md5('2026|' || row_ord), row_ord) AS draw FROM r)
     SELECT speaker_id, row_ord, CASE WHEN place > 5 THEN 'draw' ELSE 'head' END AS part FROM d WHERE place <= 5 OR draw <= 5""", c=CANDIDATES)
 def boundary_sample(spark, sf):
-    rows = bound(spark, sf, CANDIDATES).withColumn("snr_db", number("snr_db", 0.0))
-    return review.boundary_sample(rows, 10, "2026", "row_ord").select("speaker_id", "row_ord", "part")
+    return review.boundary_sample(bound(spark, sf, CANDIDATES), 10, "2026", "row_ord").select("speaker_id", "row_ord", "part")
 
 
 # --- trials and metrics -----------------------------------------------------------------
@@ -651,38 +632,6 @@ def signal_levels(spark, sf):
     return rounded(read(spark, sf, "embeddings").select("vec_id", arrays.rms(v).alias("rms"), arrays.peak(v).alias("peak"), arrays.clipping(v, 0.2).alias("clipping")), "rms", "peak", "clipping")
 
 
-@query()
-def energy_vad_snr(spark, sf):
-    v = arrays.doubles("embedding")
-    rows = read(spark, sf, "embeddings").select("vec_id", v.alias("v")).withColumn("mask", arrays.speech_mask(F.col("v"), 1000, 8.0, 0.003))
-    return rows.select("vec_id", arrays.mean(F.transform("mask", lambda m: m.cast("double"))).alias("vad_ratio"), arrays.snr_db(F.col("v"), F.col("mask")).alias("snr_db"))
-
-
-_DIST = "SELECT CAST(label AS STRING) AS probe_id, CAST(vec_id AS INT) AS frame, embedding AS dist FROM {embeddings}"
-
-
-@query()
-def sync_framewise(spark, sf):
-    return rounded(sync.framewise(bound(spark, sf, _DIST), S), "confidence")
-
-
-@query()
-def sync_segments(spark, sf):
-    rows = bound(spark, sf, _SERIES).groupBy("probe_id").agg(F.array_sort(F.collect_list(F.struct("frame", "raw"))).alias("x"))
-    frames = rows.select("probe_id", F.posexplode("x").alias("frame", "y")).select("probe_id", "frame", (F.col("y.raw") / 2).alias("confidence"), (F.col("y.frame") % 5 - 2).cast("int").alias("offset"))
-    probes = frames.groupBy("probe_id").agg((F.count("*") / 25.0 + 0.2).alias("duration"))
-    return sync.segments(frames, probes, Settings(sync_bridge_seconds=0.4, sync_offset_share=0.2, sync_min_span_seconds=0.8, sync_min_active_seconds=0.4))
-
-
-@query()
-def greedy_tracking(spark, sf):
-    rows = read(spark, sf, "events").select(F.col("event_type").alias("window_id"), (F.col("event_id") / 50).cast("int").alias("frame"), (F.col("event_id") % 50).cast("int").alias("face_ord"), "user_id", "value")
-    base = (F.col("user_id") % 20) * 100.0
-    box = F.struct(*(e.cast("float").alias(n) for n, e in (("x1", base + F.col("value") % 10), ("y1", F.lit(0.0)), ("x2", base + 90 + F.col("value") % 10), ("y2", F.lit(90.0)))))
-    faces = rows.select("window_id", "frame", "face_ord", box.alias("bbox"), F.array(F.lit(1.0), F.col("user_id") % 3 * 0.1).cast("array<float>").alias("embedding"), F.lit(0.9).alias("det_score"))
-    return tracking.summaries(tracking.track(faces, S), S.detect_fps, 3)
-
-
 @query("SELECT conv_id, turn, role, lag(role) OVER w AS before, coalesce(len(text) - len(lag(text) OVER w), 0) AS change FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)")
 def consecutive_difference(spark, sf):
     order = Window.partitionBy("conv_id").orderBy("turn")
@@ -770,14 +719,22 @@ def train_list(spark, sf):
 @query("WITH+ SELECT DISTINCT export_path AS path FROM u WHERE k % 5 = 0 AND speaker_id IN (SELECT speaker_id FROM u WHERE k % 5 <> 0) AND export_path NOT IN (SELECT export_path FROM u WHERE k % 5 <> 0)", u=_UTT)
 def stale_exports(spark, sf):
     rows = bound(spark, sf, _UTT)
-    kept = rows.where("k % 5 <> 0").withColumn("candidate_path", F.col("export_path"))
+    kept = rows.where("k % 5 <> 0").withColumn("candidate_path", F.col("export_path")).withColumn("audio_path", F.col("export_path"))
     return candidates.copy_plan(kept, rows.select(F.col("export_path").alias("path")).distinct())[1]
 
 
-@query("WITH+ SELECT row_ord FROM c WHERE CAST(speaker_id AS INTEGER) % 4 <> 0 AND coalesce(pipeline_version, 'legacy') = '1' AND syncnet_verified >= 1", c=CANDIDATES)
+def _fourth(spark, sf) -> DataFrame:
+    return read(spark, sf, "supplier").where("s_suppkey % 4 = 0").select(F.col("s_suppkey").cast("string").alias("speaker_id"))
+
+
+@query("WITH+ SELECT row_ord FROM c WHERE CAST(speaker_id AS INTEGER) % 4 <> 0 OR (coalesce(pipeline_version, 'legacy') = '1' AND syncnet_verified >= 1)", c=CANDIDATES)
 def reprocess_filter(spark, sf):
-    forced = read(spark, sf, "supplier").where("s_suppkey % 4 = 0").select(F.col("s_suppkey").cast("string").alias("speaker_id"))
-    return gates.reprocess_filter(bound(spark, sf, CANDIDATES), forced, S).select("row_ord")
+    return gates.reprocess_filter(bound(spark, sf, CANDIDATES), _fourth(spark, sf), S).select("row_ord")
+
+
+@query("WITH+ SELECT row_ord FROM c WHERE CAST(speaker_id AS INTEGER) % 4 <> 0", c=CANDIDATES)
+def force_filter(spark, sf):
+    return gates.force_filter(bound(spark, sf, CANDIDATES), _fourth(spark, sf)).select("row_ord")
 
 
 @query("""SELECT CAST(c AS VARCHAR) AS speaker_id, c IN (SELECT s_suppkey FROM supplier) AS known FROM (SELECT DISTINCT o_custkey AS c FROM orders)""")
@@ -788,7 +745,7 @@ def speaker_subset(spark, sf):
 
 
 @query("""WITH+ , p AS (SELECT speaker_id, count(*) FILTER (WHERE file_exists) AS n_clips, count(DISTINCT video_id) FILTER (WHERE file_exists) AS n_videos, count(*) FILTER (WHERE NOT file_exists) AS n_missing FROM c GROUP BY 1)
-    SELECT speaker_id, n_clips FROM p WHERE n_clips <> 545 OR n_videos < 6 OR n_missing > 0""", c=CANDIDATES)
+    SELECT speaker_id, n_clips FROM p WHERE n_clips <> 545 OR n_videos < 6""", c=CANDIDATES)
 def export_gate(spark, sf):
     rows = bound(spark, sf, CANDIDATES)
     return stats.export_gate(stats.coverage(rows.select("speaker_id").distinct(), rows), 545, 6).select("speaker_id", "n_clips")
@@ -797,15 +754,15 @@ def export_gate(spark, sf):
 _BOX = "SELECT o_orderkey, CAST(o_orderkey % 90 AS DOUBLE) AS x, CAST(o_custkey % 70 AS DOUBLE) AS y, 20 + CAST(o_orderkey % 60 AS DOUBLE) AS w FROM {orders}"
 
 
-@query("""WITH+ SELECT o_orderkey, round(greatest(0, least(x + w, 100) - greatest(x, 40)) * greatest(0, least(y + w, 100) - greatest(y, 40)) / (w * w + 3600 - greatest(0, least(x + w, 100) - greatest(x, 40)) * greatest(0, least(y + w, 100) - greatest(y, 40)) + 1e-6::DOUBLE), 6) AS iou,
-    round(CASE WHEN least(200, x + w / 2 + w * 0.9::DOUBLE) - greatest(0, x + w / 2 - w * 0.9::DOUBLE) >= 32 AND least(150, y + w / 2 + w * 0.9::DOUBLE) - greatest(0, y + w / 2 - w * 0.9::DOUBLE) >= 32 THEN least(200, x + w / 2 + w * 0.9::DOUBLE) - greatest(0, x + w / 2 - w * 0.9::DOUBLE) ELSE -1 END, 6) AS crop_width FROM b""", b=_BOX)
+@query("""WITH+ , k AS (SELECT *, greatest(0, round_even(x + w / 2 - w * 0.9::DOUBLE, 0)) AS a, greatest(0, round_even(y + w / 2 - w * 0.9::DOUBLE, 0)) AS b2, least(200, round_even(x + w / 2 + w * 0.9::DOUBLE, 0)) AS c2, least(150, round_even(y + w / 2 + w * 0.9::DOUBLE, 0)) AS d2 FROM b)
+    SELECT o_orderkey, round(greatest(0, least(x + w, 100) - greatest(x, 40)) * greatest(0, least(y + w, 100) - greatest(y, 40)) / (w * w + 3600 - greatest(0, least(x + w, 100) - greatest(x, 40)) * greatest(0, least(y + w, 100) - greatest(y, 40)) + 1e-6::DOUBLE), 6) AS iou,
+    CAST(CASE WHEN c2 - a >= 32 AND d2 - b2 >= 32 THEN c2 - a ELSE -1 END AS INTEGER) AS crop_width FROM k""", b=_BOX)
 def box_geometry(spark, sf):
-    struct = lambda *v: F.struct(*(c.alias(n) for n, c in zip(("x1", "y1", "x2", "y2"), v, strict=True)))
-    box = struct(F.col("x"), F.col("y"), F.col("x") + F.col("w"), F.col("y") + F.col("w"))
+    box = box_of(F.col("x"), F.col("y"), F.col("x") + F.col("w"), F.col("y") + F.col("w"))
     crop = crop_box(box, 0.4, 200.0, 150.0)
-    width = F.coalesce(crop["x2"] - crop["x1"], F.lit(-1.0))
-    other = struct(*(F.lit(v) for v in (40.0, 40.0, 100.0, 100.0)))
-    return bound(spark, sf, _BOX).select("o_orderkey", F.round(bbox_iou(box, other), 6).alias("iou"), F.round(width, 6).alias("crop_width"))
+    width = F.coalesce(crop["x2"] - crop["x1"], F.lit(-1))
+    other = box_of(*(F.lit(v) for v in (40.0, 40.0, 100.0, 100.0)))
+    return bound(spark, sf, _BOX).select("o_orderkey", F.round(bbox_iou(box, other), 6).alias("iou"), width.alias("crop_width"))
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, round(greatest(0, least(1, (ln(1 + 1000 * l_discount) - ln(1 + 1000 * 0.003::DOUBLE)) / 3)), 6) AS audio,
@@ -818,3 +775,6 @@ def activity_scores(spark, sf):
     SELECT track_id, round(start_time + i * 0.5::DOUBLE, 6) AS start, round(least(end_time, start_time + i * 0.5::DOUBLE + 1), 6) AS "end" FROM i""", t=_TRACKS)
 def sliding_score_windows(spark, sf):
     return rounded(proposals.score_windows(bound(spark, sf, _TRACKS), 1.0, 0.5), "start", "end")
+
+
+from . import catalogue_details, catalogue_files  # noqa: E402, F401  (they register theirs)
