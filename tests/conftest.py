@@ -21,6 +21,7 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.codegen.wholeStage", "false")  # compiling takes longer than small tables do
         .config("spark.checkpoint.dir", f"file://{shared}")
         .config("spark.sql.warehouse.dir", str(shared / "warehouse"))
         .getOrCreate()
