@@ -34,7 +34,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -55,16 +54,25 @@ LEAF = 24
 WIDE, MEET = 4, 0.96
 
 
+#: Shingles of a text whose places are held as Python integers at once.
+AT_ONCE = 1 << 15
+
+
 def shingle_hashes(raw: bytes, words: int) -> np.ndarray:
     """XXH64 of each shingle of lower-cased words, repeats included."""
     split = raw.lower().split()
-    if len(split) <= words:
-        return np.asarray([xxhash.xxh64_intdigest(b" ".join(split), SEED)] if split else [], "<u8")
+    n, digest = len(split), xxhash.xxh64_intdigest
     joined = b" ".join(split)
-    ends = list(accumulate([len(w) + 1 for w in split]))
-    starts = [0, *ends]
-    digest = xxhash.xxh64_intdigest
-    return np.asarray([digest(joined[a : b - 1], SEED) for a, b in zip(starts, ends[words - 1 :], strict=False)], "<u8")
+    if n <= words:
+        return np.asarray([digest(joined, SEED)] if n else [], "<u8")
+    ends = np.cumsum(np.fromiter(map(len, split), np.int64, n) + 1)
+    del split
+    starts, ends = np.append(0, ends[: n - words]), ends[words - 1 :] - 1
+    out = np.empty(len(starts), "<u8")
+    for i in range(0, len(starts), AT_ONCE):
+        spans = zip(starts[i : i + AT_ONCE].tolist(), ends[i : i + AT_ONCE].tolist(), strict=True)
+        out[i : i + AT_ONCE] = [digest(joined[a:b], SEED) for a, b in spans]
+    return out
 
 
 def majority(hashes: np.ndarray) -> int:

@@ -37,7 +37,7 @@ from .common import MOST_LABELS, bounded_sample, broadcast_if_small, chunks, fre
 
 UND = "und"
 #: Trigram vectors that a worker keeps before it starts anew (a byte a dimension).
-TABLE_SIZE = 40_000
+TABLE_SIZE = 30_000
 #: Distinct trigrams from which on a text can be told to resemble no language.
 ENOUGH = 200
 
