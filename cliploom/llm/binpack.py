@@ -33,7 +33,7 @@ from .common import chunks, small_batches, texts_of, tokenizer_path, written
 #: Partitions whose leftovers one task merges: at most MERGED * open_windows windows.
 MERGED = 64
 #: Words that a worker remembers before it starts anew.
-TABLE_SIZE = 400_000
+TABLE_SIZE = 150_000
 
 PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xc0-\xff]*")
 WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\sa-z\xdf-\xf6\xf8-\xff0-9]+")

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, chunks, fresh, release, small_batches, written
+from .common import broadcast_if_small, chunks, fresh, release, small_batches, trim, written
 from .components import components
 from .fragments import NO_ID, keyed, total_bytes
 from .prefixes import Order, bitmap, candidates, frequent, plausible
@@ -274,6 +274,7 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
                 i, j = Links(codes[of], radius).candidates()
                 low.append(node[of[i]])
                 high.append(node[of[j]])
+        trim()
         return pa.table([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in (low, high)], ["u", "v"])
 
     spread = nodes.select("node", "fp").mapInArrow(dealt, "drawn long, node long, fp binary")

@@ -8,6 +8,7 @@ columns (clashing names included) never reach their plans.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 import tempfile
@@ -113,8 +114,18 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(bound))
 
 
+def trim() -> None:
+    """Gives back to the system what this Python worker has freed: workers live on from
+    stage to stage, and memory they keep counts for the executor."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches with at most `limit` bytes of text each, or one row."""
+    """Slices of the batches with at most `limit` bytes of text each, or one row. At the
+    end the worker gives back what it no longer needs."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -126,6 +137,7 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
                 start, held = i, 0
             held += int(n)
         yield batch.slice(start)
+    trim()
 
 
 #: Values of a label that a model is fitted for, the most frequent ones.

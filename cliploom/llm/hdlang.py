@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import MOST_LABELS, bounded_sample, broadcast_if_small, chunks, fresh, held_out, release, small_batches, written
+from .common import MOST_LABELS, bounded_sample, broadcast_if_small, chunks, fresh, held_out, release, small_batches, trim, written
 
 UND = "und"
 #: Trigram vectors that a worker keeps before it starts anew (a byte a dimension).
@@ -182,6 +182,8 @@ def annotated(docs: DataFrame, model: Profiles, lang: str, score: str, grams: st
             told = [model.tell(text) for text in batch.column("text").to_pylist()]
             columns = [pa.array([t[i] for t in told], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.int64()))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, lang, score, grams])
+        _binders.clear()
+        trim()
 
     return ready.mapInArrow(run, schema)
 
