@@ -98,9 +98,11 @@ def local_videos(videos: DataFrame, files: DataFrame) -> DataFrame:
 
 def preflight(speakers: DataFrame, videos: DataFrame, references: DataFrame, target: int, cap: int, least: int, min_references: int = 2, min_videos: int = 2) -> DataFrame:
     """speaker_id and problem, a row for each thing that can't work. Of `videos` with a
-    column `local` only those with a file count as sources, all as what quotas rest on."""
+    column `local` only those with a file count as sources, all as what quotas rest on; a
+    video named by several rows counts once."""
     local = F.col("local") if "local" in videos.columns else F.lit(True)
-    n = videos.groupBy("speaker_id").agg(F.count("youtube_id").alias("n_videos"), F.count_if(local).alias("n_local"))
+    own = videos.groupBy("speaker_id", "youtube_id").agg(F.coalesce(F.bool_or(local), F.lit(False)).alias("local"))
+    n = own.groupBy("speaker_id").agg(F.count("youtube_id").alias("n_videos"), F.count_if("local").alias("n_local"))
     both = speakers.select("speaker_id").join(n, "speaker_id", "left").join(references, "speaker_id", "left")
     both = both.fillna(0, ["n_videos", "n_local", "n_references"])
     rules: list[tuple[str, Column]] = [

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from cliploom.operators import vectors
+from cliploom.operators import manifest, vectors
 
 
 def test_competitors_pair_spans_not_segments(spark):
@@ -22,3 +22,12 @@ def test_competitors_pair_spans_not_segments(spark):
         if node.nodeName() == "Join" and "bucket" in node.condition().toString():
             met.append(node.output().mkString(","))
     assert met and not any("segment_id" in columns for columns in met)
+
+
+def test_preflight_counts_a_repeated_video_once(spark):
+    videos = spark.createDataFrame([("a", "v1", True)] * 6 + [("b", "v1", False), ("b", "v1", True), ("b", "v2", False)], "speaker_id string, youtube_id string, local boolean")
+    speakers = spark.createDataFrame([("a", 2), ("b", 2)], "speaker_id string, n_references int")
+    told = lambda v: {(r["speaker_id"], r["problem"]) for r in manifest.preflight(speakers.select("speaker_id"), v, speakers, 50, 10, 9, 2, 2).collect()}
+    few, caps = "too few videos", "caps can't reach the target"
+    assert told(videos) == {("a", few), ("b", few), ("a", caps), ("b", caps)}
+    assert told(videos.drop("local")) == {("a", few), ("a", caps), ("b", caps)}
