@@ -7,13 +7,14 @@ A language's prototype is the bundle of its learned texts, each scaled to length
 one; the mean of all prototypes, common to all languages, is taken off. A text
 gets the language whose prototype has the largest cosine with its own bundle.
 
-The learned texts are a sample of at most `per_language` labelled documents of each
-of the MOST_LABELS most frequent languages, by the hash of their id; everything else
-sees every document.
+The texts that `identify` learns from are a sample of at most `per_language` labelled
+documents of each of the MOST_LABELS most frequent languages, by the hash of their id;
+everything else sees every document. The stage of the pipeline, `with_language`, learns
+from every labelled document of those languages.
 
 A text unlike all learned languages still has a largest cosine: of random bundles it
-varies by 1 / sqrt(dimensions) about 0. What rejects is therefore read from the sample,
-a quarter of the cosine that all but one in a hundred of its texts reach (a text of two
+varies by 1 / sqrt(dimensions) about 0. What rejects is therefore read from the learned
+texts, a quarter of the cosine that all but one in a hundred of them reach (a text of two
 or three languages has more), and only texts with `ENOUGH` distinct trigrams are judged.
 
 Defined results: a text that is null or has no letter, or a table from which nothing
@@ -129,29 +130,46 @@ class Profiles:
         return self.languages[best], float(np.clip(near[best], 0.0, 1.0)), own.distinct
 
 
+def taught(docs: DataFrame) -> DataFrame:
+    """Labelled documents: doc_id, text and lang. No held-out document is among them."""
+    own = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"))
+    return own.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+
+
+def labelled(docs: DataFrame) -> DataFrame:
+    """All of them, of the MOST_LABELS most frequent languages."""
+    if "lang" not in docs.columns:
+        return docs.sparkSession.createDataFrame([], "doc_id long, text string, lang string")
+    own = taught(docs)
+    counted = own.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LABELS).collect()
+    return own.where(F.col("lang").isin([r["lang"] for r in counted]))
+
+
 def learned(docs: DataFrame, per_language: int = 2000) -> DataFrame:
     """The sample: text and lang. No held-out document is in it."""
     if "lang" not in docs.columns:
         return docs.sparkSession.createDataFrame([], "text string, lang string")
-    own = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"))
-    labelled = own.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    chosen = broadcast_if_small(bounded_sample(labelled.select("doc_id", "lang"), "lang", per_language).distinct())
-    return written(labelled.join(chosen, ["doc_id", "lang"], "left_semi").select("text", "lang"), "learned")
+    own = taught(docs)
+    chosen = broadcast_if_small(bounded_sample(own.select("doc_id", "lang"), "lang", per_language).distinct())
+    return written(own.join(chosen, ["doc_id", "lang"], "left_semi").select("text", "lang"), "learned")
 
 
 def fit(sample: DataFrame, dimensions: int = 1024, seed: int = 7) -> Profiles:
-    """From the sample. The largest thing that reaches the driver is a sum for each
+    """From texts with their lang. The largest thing that reaches the driver is a sum for each
     of at most MOST_LABELS languages and each dimension."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, sums = binder(dimensions, seed), {}
-        for batch in batches:
+        for batch in chunks(batches):
             for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
                 if (v := own.bundle(text or "")) is not None:
                     sums[lang] = sums.get(lang, 0) + v.astype(np.float64)
         vectors = pa.array([list(v) for v in sums.values()], pa.list_(pa.float64()))
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), vectors], ["lang", "v"])
+        _binders.clear()
+        trim()
 
+    small_batches(sample.sparkSession)
     partial = sample.mapInArrow(run, "lang string, v array<double>").select("lang", F.posexplode("v"))
     total = partial.groupBy("lang", "pos").agg(F.sum("col").alias("x")).toArrow()
     names, at = total.column("lang").to_pylist(), total.column("pos").to_numpy()
@@ -197,17 +215,32 @@ def identify(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+#: Steps into which the cosines from 0 to 1 are counted to find the usual one.
+STEPS = 1 << 16
+
+
+def usual_score(told: DataFrame, share: float = 0.01) -> float:
+    """The score that all but `share` of the rows reach, to a STEPS-th below. Counts of
+    STEPS steps at most reach the driver, however many rows there are."""
+    step = F.floor(F.col("score") * STEPS).cast("int")
+    table = told.groupBy(step.alias("step")).count().orderBy("step").toArrow()
+    if not table.num_rows:
+        return 0.0
+    upto = np.cumsum(table.column("count").to_numpy())
+    return int(table.column("step").to_numpy()[np.searchsorted(upto, share * (upto[-1] - 1), side="right")]) / STEPS
+
+
 def with_language(docs: DataFrame) -> DataFrame:
     """docs without those that have no letter or that resemble no learned language;
-    a missing lang gets the predicted one. Where no language could be learned only
-    texts without a letter go."""
-    sample = learned(docs)
-    model = fit(sample)
-    told = annotated(sample.select("text"), model, "lang", "score", "grams").where(F.col("grams") >= ENOUGH)
-    usual = told.agg(F.percentile("score", F.lit(0.01))).first()[0]
-    release(sample)
+    a missing lang gets the predicted one. Model and limit come from every labelled
+    document; each is told once, and the table with what was told is written. Where no
+    language could be learned only texts without a letter go."""
+    model = fit(labelled(docs).select("text", "lang"))
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    lang, score, grams = (fresh(docs, f"told_{c}") for c in ("lang", "score", "grams"))
-    kept = annotated(docs, model, lang, score, grams).where((F.col(lang) != UND) & ((F.col(grams) < ENOUGH) | (F.col(score) >= (usual or 0.0) / 4)))
-    return kept.withColumn("lang", F.coalesce("lang", lang)).drop(lang, score, grams)
+    lang, score, grams, learns = (fresh(docs, f"told_{c}") for c in ("lang", "score", "grams", "learns"))
+    known = F.col("lang").cast("string").isin(model.languages) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id").cast("long"))
+    told = written(annotated(docs, model, lang, score, grams).where(F.col(lang) != UND).withColumn(learns, F.coalesce(known, F.lit(False))), "told")
+    usual = usual_score(told.where(F.col(learns) & (F.col(grams) >= ENOUGH)).select(F.col(score).alias("score")))
+    kept = told.where((F.col(grams) < ENOUGH) | (F.col(score) >= usual / 4))
+    return kept.withColumn("lang", F.coalesce("lang", lang)).drop(lang, score, grams, learns)
