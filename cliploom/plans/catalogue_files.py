@@ -249,4 +249,4 @@ def speaker_folders(spark, sf):
     path = scratch(spark, "speakers")
     few = bound(spark, sf, _SPLIT)
     tables.write_by_speaker(few, path)
-    return spark.read.parquet(path).groupBy(F.col("speaker_id").cast("string").alias("speaker_id")).agg(F.count("*").alias("n"))
+    return tables.read_by_speaker(spark, path, few.schema).groupBy("speaker_id").agg(F.count("*").alias("n"))
